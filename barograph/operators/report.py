@@ -28,7 +28,7 @@ def report_rows(entries):
     """Report entries with the colour of their status; ``seq`` keeps their order."""
     colour = F.create_map(*[F.lit(x) for pair in S.STATUS_COLOURS.items() for x in pair])
     return entries.select(
-        "job", "run_date", "seq", "component", "status", colour["status"].alias("colour"), "comments"
+        "job", "run_date", "seq", "component", "status", colour[F.col("status")].alias("colour"), "comments"
     )
 
 

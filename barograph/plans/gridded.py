@@ -24,8 +24,7 @@ def plan_requests(configs, existing=None, overwrite=True):
 
 def run_requests(grid, requests, output):
     """Cut the grid by all requests at once and write one unit per request."""
-    codes = F.regexp_extract("filename", r"_[0-9]{4}_[0-9]{2}_(.*)\.[^.]*\z", 1)
-    write_requests(fulfil_requests(grid, requests).withColumn("code", codes), output)
+    write_requests(fulfil_requests(grid, requests), output)
 
 
 def report_run(requests, ledger, latest, checked_at, log_name="run"):

@@ -71,7 +71,7 @@ def month_select(spark, sf_dir):
     return subset.month_select(grid(spark, sf_dir), 1996, 12)
 
 
-@CHECKS.add("fulfil_requests", f"SELECT * EXCLUDE (code) FROM {FULFILLED}")
+@CHECKS.add("fulfil_requests", f"SELECT * FROM {FULFILLED}")
 def fulfil_requests(spark, sf_dir):
     return subset.fulfil_requests(grid(spark, sf_dir), wanted(spark, sf_dir))
 
