@@ -3,12 +3,14 @@
 from barograph.functions.clocks import (
     compose_timestamp,
     compose_timestamp_aws,
+    in_span,
     is_hour,
     normalise_clock,
     pad_hour,
     parse_clock_hms,
     parse_date,
     parse_timecode,
+    read_date,
     snapshot_date,
     snapshot_hour,
     snapshot_time,
@@ -28,6 +30,7 @@ from barograph.functions.names import (
 )
 from barograph.functions.values import (
     measure_number,
+    measure_text,
     null_tokens,
     strip_controls,
     upper_name,
@@ -43,8 +46,10 @@ __all__ = [
     "forecast_name",
     "forecast_url",
     "has_extension",
+    "in_span",
     "is_hour",
     "measure_number",
+    "measure_text",
     "normalise_clock",
     "null_tokens",
     "object_key",
@@ -55,6 +60,7 @@ __all__ = [
     "parse_clock_hms",
     "parse_date",
     "parse_timecode",
+    "read_date",
     "sidecar_name",
     "snapshot_date",
     "snapshot_hour",

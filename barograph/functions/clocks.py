@@ -26,12 +26,21 @@ def _two_digits(number):
     return F.lpad(number.cast("string"), 2, "0")
 
 
-def parse_date(text, date_format="yyyy-MM-dd"):
+def read_date(text, date_format="yyyy-MM-dd"):
     """Date held by a text in one declared format; anything else is null."""
-    day = F.try_to_date(text, date_format)
-    return F.when(
-        day.between(F.lit(EARLIEST_DAY).cast("date"), F.lit(LATEST_DAY).cast("date")), day
-    )
+    return F.try_to_date(text, date_format)
+
+
+def in_span(day):
+    """Whether a nanosecond timestamp can hold the day; false for null."""
+    first, last = (F.lit(bound).cast("date") for bound in (EARLIEST_DAY, LATEST_DAY))
+    return F.coalesce(day.between(first, last), F.lit(False))
+
+
+def parse_date(text, date_format="yyyy-MM-dd"):
+    """Date in one declared format, within the span; anything else is null."""
+    day = read_date(text, date_format)
+    return F.when(in_span(day), day)
 
 
 def pad_hour(text):
@@ -46,8 +55,8 @@ def is_hour(padded):
 
 def normalise_clock(text):
     """``H:M`` as ``HH:MM``; anything else, blanks included, is null."""
-    parts = [F.lpad(F.split_part(text, F.lit(":"), F.lit(i)), 2, "0") for i in (1, 2)]
-    return F.when(text.rlike(HOUR_MINUTE), F.concat_ws(":", *parts))
+    hour, minute = (F.lpad(F.substring_index(text, ":", i), 2, "0") for i in (1, -1))
+    return F.when(text.rlike(HOUR_MINUTE), F.concat(hour, F.lit(":"), minute))
 
 
 def parse_clock_hms(text):

@@ -109,15 +109,22 @@ def attempt_outcomes(attempts, retries=S.FILE_RETRIES, by=("file",), strict=Fals
 
     The last attempt decides: ``ok``; ``failed`` for a status that is not
     retried; ``exhausted`` when a retried status came back more often than the
-    number of retries allows; otherwise ``retrying``.
+    number of retries allows; otherwise ``retrying``. An attempt without any
+    status, such as a broken connection, is retried.
     """
-    last = F.max(F.struct("attempt", "status_code"))
-    files = attempts.groupBy(*by).agg(
-        F.count("*").alias("attempts"), last["status_code"].alias("status_code")
+    # Attempt and three-digit status share one number, so the last attempt is a
+    # plain maximum, which hash aggregation can keep.
+    last = F.col("attempt").cast("bigint") * 1000 + F.coalesce("status_code", F.lit(0))
+    files = (
+        attempts.groupBy(*by)
+        .agg(F.count("*").alias("attempts"), F.max(last).alias("_last"))
+        .withColumn("status_code", F.nullif(F.col("_last") % 1000, F.lit(0)).cast("int"))
+        .drop("_last")
     )
+    retried = F.coalesce(F.col("status_code").isin(*S.RETRYABLE_STATUSES), F.lit(True))
     outcome = (
         F.when(F.col("status_code") == S.OK_STATUS, "ok")
-        .when(~F.col("status_code").isin(*S.RETRYABLE_STATUSES), "failed")
+        .when(~retried, "failed")
         .when(F.col("attempts") > retries, "exhausted")
         .otherwise("retrying")
     )
@@ -134,21 +141,17 @@ def attempt_outcomes(attempts, retries=S.FILE_RETRIES, by=("file",), strict=Fals
 def delivery_ledger(expected, delivered, strict=False):
     """One row per object that was to be written: is it at its destination?
 
-    ``expected`` has ``prefix`` and ``key``, ``delivered`` the keys found
-    there. Objects that nobody expected are left out. Strict fails on a
-    missing one. Feeds ``transfer_tally``.
+    Both tables have a ``key``, which is a prefix, a slash and a file name.
+    Objects that nobody expected are left out. Strict fails on a missing one.
+    Feeds ``transfer_tally``.
     """
-    marks = expected.select("prefix", "key", F.lit(True).alias("_expected")).unionByName(
-        delivered.select(
-            F.lit(None).cast("string").alias("prefix"), "key", F.lit(False).alias("_expected")
-        )
+    marks = expected.select("key", F.lit(True).alias("_expected")).unionByName(
+        delivered.select("key", F.lit(False).alias("_expected"))
     )
     ledger = (
         marks.groupBy("key")
         .agg(
-            F.max("prefix").alias("prefix"),
-            F.bool_or("_expected").alias("_wanted"),
-            F.bool_or(~F.col("_expected")).alias("ok"),
+            F.bool_or("_expected").alias("_wanted"), F.bool_or(~F.col("_expected")).alias("ok")
         )
         .filter("_wanted")
     )
@@ -156,4 +159,6 @@ def delivery_ledger(expected, delivered, strict=False):
     if strict:
         message = F.concat(F.lit("not delivered: "), F.col("key"))
         error = F.when(~F.col("ok"), F.raise_error(message))
-    return ledger.select("prefix", "key", "ok", error.alias("error"))
+    return ledger.select(
+        parent_dir(F.col("key")).alias("prefix"), "key", "ok", error.alias("error")
+    )

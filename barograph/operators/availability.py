@@ -38,6 +38,8 @@ def latest_published(dates, now, by=("source",)):
     Every date is noted under itself and, as a predecessor, under the day
     after. The dates of a source are thus never gathered: both steps combine
     on the map side, first to distinct days and then to one row per source.
+    Day and mark share one number, which keeps the second step a hash
+    aggregate too.
     """
     now = F.lit(_utc_text(now)).cast("timestamp_ntz")
     notes = F.array(
@@ -49,9 +51,10 @@ def latest_published(dates, now, by=("source",)):
         .groupBy(*by, "day")
         .agg(F.bool_or("listed").alias("listed"), F.bool_or(~F.col("listed")).alias("follows"))
     )
-    listed = F.when(F.col("listed"), F.struct("day", "follows"))
-    newest = days.groupBy(*by).agg(F.max(listed).alias("newest"))
-    day = F.col("newest.day")
+    marked = F.unix_date("day") * 2 + F.col("follows").cast("int")
+    newest = days.groupBy(*by).agg(F.max(F.when(F.col("listed"), marked)).alias("newest"))
+    day = F.date_from_unix_date(F.floor(F.col("newest") / 2).cast("int"))
     published = now > day.cast("timestamp_ntz") + F.expr(PUBLISHED_AFTER)
-    latest = F.when(published, day).when(F.col("newest.follows"), F.date_sub(day, 1))
+    follows = F.col("newest") % 2 != 0
+    latest = F.when(published, day).when(follows, F.date_sub(day, 1))
     return newest.select(*by, latest.alias("latest"))

@@ -14,12 +14,13 @@ from barograph.functions import (
     column,
     compose_timestamp,
     compose_timestamp_aws,
+    in_span,
     is_hour,
-    measure_number,
+    measure_text,
     normalise_clock,
     pad_hour,
     parse_clock_hms,
-    parse_date,
+    read_date,
     snapshot_date,
     snapshot_hour,
     snapshot_time,
@@ -42,16 +43,6 @@ def _check_columns(df, names):
         raise ValueError(f"columns not found: {', '.join(missing)}")
 
 
-def _or_fail(bad, value, message, mode):
-    """The value, null where it is bad; in strict mode a bad one raises.
-
-    The error sits inside the column, so it cannot be pruned away from a job
-    that uses the column.
-    """
-    otherwise = F.raise_error(message) if mode == "strict" else F.lit(None)
-    return F.when(bad, otherwise).otherwise(value)
-
-
 def drop_columns(df, names=tuple(S.DISPLAY_COLUMNS), strict=False):
     """Drop the display columns; strict insists that all of them are there."""
     if strict:
@@ -104,26 +95,50 @@ def expected_in_payloads(records, keys, expected=tuple(S.STATION_EXPECTED)):
     return records.groupBy(*keys).agg(*flags).select(*keys, F.inline(checks))
 
 
-def _station_parts(date_format):
-    day = parse_date(column(S.STATION_DATE), date_format)
-    hour = pad_hour(column(S.STATION_HOUR))
-    problems = {"date": day.isNull(), "time": ~is_hour(hour)}
-    numbers = {name: measure_number(column(name)) for name in S.MEASURES}
-    for name, number in numbers.items():
-        stated = column(name).isNotNull() & ~column(name).isin("NA", "")
-        problems[S.STATION_NAMES[name]] = stated & number.isNull()
-    return compose_timestamp(day, hour), numbers, problems
+# Fields are read in one projection, judged in a second one where reasons are
+# wanted, and put in place in a last one. What is read is used more than once
+# later on, so the optimizer keeps the steps apart and nothing is parsed twice.
+# The judging step uses an array function that Spark runs outside whole-stage
+# code. Without that break the generated method would grow past the 8000 bytes
+# up to which the JVM compiles it, and run several times slower.
+
+
+def _read_station(df, date_format):
+    parts = {"_day": read_date(column(S.STATION_DATE), date_format)}
+    parts["_time"] = pad_hour(column(S.STATION_HOUR))
+    for name in S.MEASURES:
+        parts[f"_{S.STATION_NAMES[name]}"] = measure_text(column(name))
+    for name in S.CLOCKS:
+        text = column(name)
+        clock = normalise_clock(strip_controls(text) if name in S.STRIPPED else text)
+        parts[f"_{S.STATION_NAMES[name]}"] = clock
+    return df.withColumns(parts)
+
+
+def _read_aws(df, date_format):
+    return df.withColumns(
+        {
+            "_day": read_date(column(S.AWS_DATE), date_format),
+            "_time": parse_clock_hms(column(S.AWS_CLOCK)),
+        }
+    )
+
 
+def _station_problems():
+    problems = {"date": ~in_span(F.col("_day")), "time": ~is_hour(F.col("_time"))}
+    for target in map(S.STATION_NAMES.get, S.MEASURES):
+        problems[target] = F.col(f"_{target}") == ""
+    return problems
 
-def _aws_parts(date_format):
-    day = parse_date(column(S.AWS_DATE), date_format)
-    clock = parse_clock_hms(column(S.AWS_CLOCK))
-    problems = {"date": day.isNull(), "time": clock.isNull()}
-    return compose_timestamp_aws(day, clock), {}, problems
 
+def _aws_problems():
+    return {"date": ~in_span(F.col("_day")), "time": F.col("_time").isNull()}
 
-_PARTS = {S.STATION_DATASET: _station_parts, S.AWS_DATASET: _aws_parts}
-_REQUIRED = {S.STATION_DATASET: S.STATION_REQUIRED, S.AWS_DATASET: S.AWS_REQUIRED}
+
+def _judge(df, problems):
+    """Add ``reject_reasons``, the names of the problems a row has."""
+    named = [F.when(bad, reason) for reason, bad in problems.items()]
+    return df.withColumn("reject_reasons", F.array_compact(F.array(*named)))
 
 
 def _complete(df, required, mode):
@@ -134,16 +149,18 @@ def _complete(df, required, mode):
     return df.withColumns(absent) if absent else df
 
 
-def _reasons(problems):
-    named = [F.when(bad, F.lit(reason)) for reason, bad in problems.items()]
-    return F.array_compact(F.array(*named))
+_RULES = {
+    S.STATION_DATASET: (S.STATION_REQUIRED, _read_station, _station_problems),
+    S.AWS_DATASET: (S.AWS_REQUIRED, _read_aws, _aws_problems),
+}
 
 
 def reject_reasons(df, dataset=S.STATION_DATASET, date_format="yyyy-MM-dd"):
     """The raw rows plus ``reject_reasons``, the fields that cannot be read."""
-    df = _complete(df, _REQUIRED[dataset], "permissive")
-    _, _, problems = _PARTS[dataset](date_format)
-    return df.withColumn("reject_reasons", _reasons(problems))
+    required, read, problems = _RULES[dataset]
+    df = _complete(df, required, "permissive")
+    raw = [column(name) for name in df.columns]
+    return _judge(read(df, date_format), problems()).select(*raw, "reject_reasons")
 
 
 def reject_rows(df, dataset=S.STATION_DATASET, date_format="yyyy-MM-dd"):
@@ -151,9 +168,26 @@ def reject_rows(df, dataset=S.STATION_DATASET, date_format="yyyy-MM-dd"):
     return reject_reasons(df, dataset, date_format).filter(F.size("reject_reasons") > 0)
 
 
-def _timestamp(stamp, problems, mode):
-    bad = problems["date"] | problems["time"]
-    return _or_fail(bad, stamp, F.lit("date or time cannot be read"), mode).alias("timestamp")
+def _or_fail(value, reasons, mode):
+    """The value; in strict mode it raises where one of the reasons holds.
+
+    The error sits inside the column, so it cannot be pruned away from a job
+    that uses the column.
+    """
+    if mode == "permissive":
+        return value
+    bad = F.arrays_overlap("reject_reasons", F.array(*[F.lit(reason) for reason in reasons]))
+    message = F.concat(F.lit("cannot be read: "), F.array_join("reject_reasons", ", "))
+    return F.when(bad, F.raise_error(message)).otherwise(value)
+
+
+def _place(df, tidy, stamp, problems, mode, with_reasons):
+    """Timestamp first, then the tidy columns, then the reasons if wanted."""
+    stamp = F.when(~(problems["date"] | problems["time"]), stamp)
+    first = _or_fail(stamp, ["date", "time"], mode).alias("timestamp")
+    if with_reasons or mode == "strict":
+        df = _judge(df, problems)
+    return df.select(first, *tidy, *(["reject_reasons"] if with_reasons else []))
 
 
 def clean_station(df, mode="permissive", date_format="yyyy-MM-dd", with_reasons=False):
@@ -164,43 +198,38 @@ def clean_station(df, mode="permissive", date_format="yyyy-MM-dd", with_reasons=
     """
     _check_mode(mode)
     df = _complete(df, S.STATION_REQUIRED, mode)
-    stamp, numbers, problems = _station_parts(date_format)
-    tidy = [_timestamp(stamp, problems, mode)]
-    inputs = {S.STATION_DATE, S.STATION_HOUR, "Date", *S.DISPLAY_COLUMNS}
+    tidy, inputs = [], {S.STATION_DATE, S.STATION_HOUR, "Date", *S.DISPLAY_COLUMNS}
     for name in df.columns:
         if name in inputs:
             continue
         value, target = column(name), S.STATION_NAMES.get(name, name)
-        if name in S.STRIPPED:
-            value = strip_controls(value)
         if name in S.CLOCKS:
-            value = normalise_clock(value)
+            value = F.col(f"_{target}")
+        elif name in S.STRIPPED:
+            value = strip_controls(value)
         if name in S.UPPERCASED:
             value = upper_name(value)
-        if name in numbers:
-            message = F.concat(F.lit(f"{target} is not a number: "), column(name))
-            value = _or_fail(problems[target], without_nan(numbers[name]), message, mode)
+        if name in S.MEASURES:
+            number = without_nan(F.col(f"_{target}").try_cast("double"))
+            value = _or_fail(number, [target], mode)
         tidy.append(value.alias(target))
-    if with_reasons:
-        tidy.append(_reasons(problems).alias("reject_reasons"))
-    return df.select(*tidy)
+    stamp = compose_timestamp(F.col("_day"), F.col("_time"))
+    parsed = _read_station(df, date_format)
+    return _place(parsed, tidy, stamp, _station_problems(), mode, with_reasons)
 
 
 def clean_aws(df, mode="permissive", date_format="yyyy-MM-dd", with_reasons=False):
     """Tidy an automatic station feed: composed timestamp; measures untouched."""
     _check_mode(mode)
     df = _complete(df, S.AWS_REQUIRED, mode)
-    stamp, _, problems = _aws_parts(date_format)
     inputs = {S.AWS_DATE, S.AWS_CLOCK, *S.DISPLAY_COLUMNS}
-    tidy = [_timestamp(stamp, problems, mode)]
-    tidy += [
+    tidy = [
         column(name).alias(S.AWS_NAMES.get(name, name))
         for name in df.columns
         if name not in inputs
     ]
-    if with_reasons:
-        tidy.append(_reasons(problems).alias("reject_reasons"))
-    return df.select(*tidy)
+    stamp = compose_timestamp_aws(F.col("_day"), F.col("_time"))
+    return _place(_read_aws(df, date_format), tidy, stamp, _aws_problems(), mode, with_reasons)
 
 
 def clean_feed(df, dataset, mode="permissive", date_format="yyyy-MM-dd", with_reasons=False):

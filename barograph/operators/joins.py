@@ -8,10 +8,14 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 32
 
 
+def row_bytes(df):
+    """Upper estimate of the bytes of a row: its length as JSON, names included."""
+    return F.octet_length(F.to_json(F.struct(*df.columns)))
+
+
 def fits_in_broadcast(df, max_rows=MAX_BROADCAST_ROWS, max_bytes=MAX_BROADCAST_BYTES):
     """Whether a table is proven small: one distributed count of rows and bytes."""
-    width = F.octet_length(F.to_json(F.struct(*df.columns)))
-    size = df.agg(F.count("*").alias("rows"), F.sum(width).alias("bytes")).first()
+    size = df.agg(F.count("*").alias("rows"), F.sum(row_bytes(df)).alias("bytes")).first()
     return size["rows"] <= max_rows and (size["bytes"] or 0) <= max_bytes
 
 

@@ -16,7 +16,6 @@ from barograph.functions import (
     parse_date,
     strip_controls,
     upper_name,
-    without_nan,
 )
 from barograph.operators import clean
 from barograph.sources import dataset_filter
@@ -227,7 +226,7 @@ def tokens(spark, sf_dir):
 )
 def measures(spark, sf_dir):
     numbers = [
-        without_nan(measure_number(column(name))).alias(S.STATION_NAMES[name])
+        measure_number(column(name)).alias(S.STATION_NAMES[name])
         for name in S.MEASURES
     ]
     return station(spark, sf_dir).select("event_id", *numbers)
