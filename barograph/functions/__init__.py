@@ -18,7 +18,6 @@ from barograph.functions.clocks import (
 from barograph.functions.names import (
     column,
     file_extension,
-    file_stem,
     forecast_name,
     forecast_url,
     has_extension,
@@ -42,7 +41,6 @@ __all__ = [
     "compose_timestamp",
     "compose_timestamp_aws",
     "file_extension",
-    "file_stem",
     "forecast_name",
     "forecast_url",
     "has_extension",

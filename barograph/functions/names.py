@@ -47,11 +47,6 @@ def file_extension(path):
     return F.regexp_extract(path, r"\.([^./]*)\z", 1)
 
 
-def file_stem(path):
-    """The path without its extension."""
-    return F.regexp_replace(path, r"\.[^./]*\z", "")
-
-
 def has_extension(path, extension):
     """Whether a path ends in a dot and this extension."""
     return path.endswith("." + extension)
@@ -59,4 +54,5 @@ def has_extension(path, extension):
 
 def parent_dir(path):
     """The part of a path before its last slash."""
-    return F.regexp_replace(path, r"/[^/]*\z", "")
+    name = F.substring_index(path, "/", -1)
+    return F.left(path, F.greatest(F.length(path) - F.length(name) - 1, F.lit(0)))

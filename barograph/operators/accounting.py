@@ -7,12 +7,8 @@ prefix, file or run holding most of the rows costs no more than any other.
 from pyspark.sql import functions as F
 
 from barograph import schemas as S
-from barograph.functions import file_extension, file_stem, has_extension, parent_dir
-from barograph.operators.joins import lookup_join
-
-# Inventories can be as long as the requests they are compared with, so beyond
-# a broadcast they are repeated less often than a lookup table.
-INVENTORY_SALTS = 8
+from barograph.functions import file_extension, has_extension, parent_dir
+from barograph.operators.joins import INVENTORY_SALTS, fits_in_broadcast, lookup_join
 
 
 def file_counts(files, extension=None, path="path", length="length"):
@@ -70,17 +66,22 @@ def lead_pairs(expected, arrived):
 
     An index without its data does not count.
     """
-    extension = file_extension(F.col("filename"))
-    stems = arrived.groupBy(file_stem(F.col("filename")).alias("_stem")).agg(
-        F.bool_or(extension == "grib2").alias("_data"),
-        F.bool_or(extension == "index").alias("_index"),
+    name = F.col("filename")
+    data_name = F.when(has_extension(name, "grib2"), name).when(
+        has_extension(name, "index"), F.concat(F.expr("left(filename, length(filename) - 5)"), F.lit("grib2"))
+    )
+    files = (
+        arrived.select(data_name.alias("filename"), has_extension(name, "index").alias("_is_index"))
+        .filter("filename IS NOT NULL")
+        .groupBy("filename")
+        .agg(F.bool_or(~F.col("_is_index")).alias("_data"), F.bool_or("_is_index").alias("_index"))
     )
-    wanted = expected.withColumn("_stem", file_stem(F.col("filename")))
-    pairs = lookup_join(wanted, stems, ["_stem"], "left", salts=INVENTORY_SALTS)
+    small = fits_in_broadcast(arrived.select("filename"))
+    pairs = lookup_join(expected, files, ["filename"], "left", small, salts=INVENTORY_SALTS)
     data = F.coalesce("_data", F.lit(False))
     return pairs.withColumns(
         {"data_ok": data, "index_ok": data & F.coalesce("_index", F.lit(False))}
-    ).drop("_stem", "_data", "_index")
+    ).drop("_data", "_index")
 
 
 def pair_completeness(expected, arrived, by=("run",), strict=False):
@@ -130,7 +131,8 @@ def attempt_outcomes(attempts, retries=S.FILE_RETRIES, by=("file",), strict=Fals
     )
     files = files.withColumn("outcome", outcome)
     if strict:
-        message = F.concat(F.lit("transfer failed with status "), F.col("status_code").cast("string"))
+        status = F.coalesce(F.col("status_code").cast("string"), F.lit("unknown"))
+        message = F.concat(F.lit("transfer failed with status "), status)
         lost = F.col("outcome").isin("failed", "exhausted")
         files = files.withColumn(
             "outcome", F.when(lost, F.raise_error(message)).otherwise(F.col("outcome"))

@@ -3,18 +3,35 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 32
 
+# Inventories of files can be as long as the requests they are compared with,
+# so beyond a broadcast they are repeated less often than a lookup table.
+INVENTORY_SALTS = 8
+
 
 def row_bytes(df):
-    """Upper estimate of the bytes of a row: its length as JSON, names included."""
-    return F.octet_length(F.to_json(F.struct(*df.columns)))
+    """Estimate of the bytes of a row: texts and nested values by their length."""
+    total = F.lit(0)
+    for field in df.schema.fields:
+        value = F.col("`" + field.name.replace("`", "``") + "`")
+        if isinstance(field.dataType, T.StringType):
+            total = total + F.coalesce(F.octet_length(value), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(value))), F.lit(0))
+        else:
+            total = total + F.lit(16)
+    return total
 
 
 def fits_in_broadcast(df, max_rows=MAX_BROADCAST_ROWS, max_bytes=MAX_BROADCAST_BYTES):
-    """Whether a table is proven small: one distributed count of rows and bytes."""
+    """Whether a table is proven small: one distributed count of rows and bytes.
+
+    A table that is still to be deduplicated can be checked as it is, which
+    costs a scan and no shuffle.
+    """
     size = df.agg(F.count("*").alias("rows"), F.sum(row_bytes(df)).alias("bytes")).first()
     return size["rows"] <= max_rows and (size["bytes"] or 0) <= max_bytes
 
@@ -40,7 +57,7 @@ def lookup_join(left, right, on, how="inner", small=None, salts=SALTS):
     if small is None:
         small = fits_in_broadcast(right)
     if small:
-        return left.join(F.broadcast(right), on, how)
+        return left.join(F.broadcast(right), list(on), how)
     salted = left.withColumn("_salt", _salt(left, salts))
     repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")

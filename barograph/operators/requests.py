@@ -11,7 +11,7 @@ from barograph.functions import (
     output_name,
     sidecar_name,
 )
-from barograph.operators.joins import lookup_join
+from barograph.operators.joins import INVENTORY_SALTS, fits_in_broadcast, lookup_join
 
 
 def month_starts(start, end):
@@ -102,10 +102,12 @@ def object_keys(requests):
 
 def skip_existing(requests, existing, overwrite=False, on=("filename",)):
     """Leave out requests whose file exists, or flag them when overwriting."""
-    names = existing.select(*on).distinct()
+    names = existing.select(*on)
+    small = fits_in_broadcast(names)
     if not overwrite:
-        return lookup_join(requests, names, list(on), "left_anti")
-    flagged = lookup_join(requests, names.withColumn("replaces", F.lit(True)), list(on), "left")
+        return lookup_join(requests, names.distinct(), on, "left_anti", small, INVENTORY_SALTS)
+    found = names.distinct().withColumn("replaces", F.lit(True))
+    flagged = lookup_join(requests, found, on, "left", small, INVENTORY_SALTS)
     return flagged.withColumn("replaces", F.coalesce("replaces", F.lit(False)))
 
 

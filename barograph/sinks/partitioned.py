@@ -23,22 +23,28 @@ CSV_OPTIONS = {
 
 
 def _replace_partitions(df, keys):
-    """A writer whose output is one file per partition, more for a large one.
+    return (
+        df.write.partitionBy(*keys).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    )
+
+
+def _gather(df, keys):
+    """Bring the rows of a partition together: one file each, more for a large one.
 
-    Rebalancing gathers small partitions and splits a hot one by size, where a
+    Rebalancing collects small partitions and splits a hot one by size, where a
     plain repartition would hand it to a single task.
     """
-    return (
-        df.hint("rebalance", *keys)
-        .write.partitionBy(*keys)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-    )
+    return df.hint("rebalance", *keys)
 
 
-def write_snapshots(df, path):
-    """Write tidy snapshots as ``dataset=/snap_date=/snap_time=`` CSV files."""
-    _replace_partitions(df, SNAPSHOT_KEYS).options(**CSV_OPTIONS).csv(path)
+def write_snapshots(df, path, gathered=False):
+    """Write tidy snapshots as ``dataset=/snap_date=/snap_time=`` CSV files.
+
+    ``gathered`` says that each snapshot lies in one task already, as it does
+    when it was read from one landed file; it is then written without a shuffle.
+    """
+    rows = df if gathered else _gather(df, SNAPSHOT_KEYS)
+    _replace_partitions(rows, SNAPSHOT_KEYS).options(**CSV_OPTIONS).csv(path)
 
 
 def read_snapshots(spark, path, schema):
@@ -48,7 +54,7 @@ def read_snapshots(spark, path, schema):
 
 def write_requests(df, path):
     """Write request outputs as ``region=/year=/month=/code=`` Parquet files."""
-    _replace_partitions(df, REQUEST_KEYS).parquet(path)
+    _replace_partitions(_gather(df, REQUEST_KEYS), REQUEST_KEYS).parquet(path)
 
 
 def delivered_units(inventory):

@@ -1,0 +1,170 @@
+"""Cleaning of whole feeds: stated rows, missing columns, strict mode."""
+
+import pytest
+from pyspark.errors import PySparkException
+
+from barograph import schemas as S
+from barograph.operators import clean
+
+ROW = {
+    "Station": "Mysuru", "Station Id": "043296", "Date of Observation": "2024-01-02", "Time": "12",
+    "Mean Sea Level Pressure": "1010.2", "Wind Direction": "N", "Wind Speed KMPH": "3",
+    "Temperature": "25.3", "Weather Code": "03", "Nebulosity": "4", "Humidity": "70",
+    "Last 24 hrs Rainfall": "0", "Feel Like": "27", "Sunrise": "06:44", "Sunset": "18:06",
+    "Moonrise": "NA", "Moonset": "", "WEATHER_ICON": "i", "WEATHER_MESSAGE": "m",
+    "BACKGROUND": "b", "BACKGROUND_URL": "u",
+}
+AWS_ROW = {
+    "ID": "A1", "DATE": "2024-01-02", "TIME": "06:30:00", "RAIN": "1", "WEATHER_ICON": "i",
+    "WEATHER_MESSAGE": "m", "BACKGROUND": "b", "BACKGROUND_URL": "u",
+}
+
+
+@pytest.fixture
+def feed(spark):
+    def make(*changes, base=ROW, without=()):
+        names = [name for name in base if name not in without]
+        extra = [n for change in changes for n in change if n not in names and n not in without]
+        names += list(dict.fromkeys(extra))
+        schema = ", ".join(f"`{name}` string" for name in names)
+        rows = [tuple({**base, **change}.get(name) for name in names) for change in changes]
+        return spark.createDataFrame(rows, schema)
+
+    return make
+
+
+def test_stated_row(feed):
+    row = clean.clean_station(
+        feed({
+            "Station": "\r\n Bengaluru Hal \t", "Time": "3", "Humidity": "NA", "Last 24 hrs Rainfall": "",
+            "Sunrise": "6:42", "Sunset": " 18:04\r\n", "Moonrise": "24:10", "Moonset": "10:47 ",
+        })
+    ).first()
+    assert row["timestamp"] == "2024-01-02T03:00:00.00+05:30"
+    assert (row["stationName"], row["stationID"]) == ("BENGALURU HAL", "043296")
+    assert (row["temperature"], row["humidity"], row["last24hrsRainfall"]) == (25.3, None, None)
+    assert [row[n] for n in ("sunrise", "sunset", "moonrise", "moonset")] == ["06:42", "18:04", None, None]
+
+
+def test_schema_and_order(feed):
+    tidy = clean.clean_station(feed({"extra column": "e", "Station": "a"}))
+    assert tidy.schema.names == [*S.STATION_CLEAN_SCHEMA.names, "extra column"]
+    assert [f.dataType for f in tidy.schema][:-1] == [f.dataType for f in S.STATION_CLEAN_SCHEMA]
+    assert tidy.first()["extra column"] == "e"
+
+
+REJECTED = [
+    ({"Date of Observation": "bad"}, ["date"]),
+    ({"Date of Observation": None}, ["date"]),
+    ({"Time": None}, ["time"]),
+    ({"Time": "24"}, ["time"]),
+    ({"Time": "3.0"}, ["time"]),
+    ({"Temperature": "--"}, ["temperature"]),
+    ({"Temperature": "Trace"}, ["temperature"]),
+    ({"Temperature": "1,000"}, ["temperature"]),
+    ({"Temperature": "NA "}, ["temperature"]),
+    ({"Temperature": "  "}, ["temperature"]),
+    ({"Temperature": "1d"}, ["temperature"]),
+    ({"Humidity": "x", "Time": "99"}, ["time", "humidity"]),
+]
+
+
+@pytest.mark.parametrize("change, reasons", REJECTED)
+def test_permissive_rejects(feed, change, reasons):
+    raw = feed(change, {})
+    tidy = clean.clean_station(raw, with_reasons=True).collect()
+    assert [row["reject_reasons"] for row in tidy] == [reasons, []]
+    if {"date", "time"} & set(reasons):
+        assert tidy[0]["timestamp"] is None
+    for name in set(reasons) - {"date", "time"}:
+        assert tidy[0][name] is None
+    assert tidy[1]["timestamp"] == "2024-01-02T12:00:00.00+05:30"
+    rejected = clean.reject_rows(raw).collect()
+    assert [row["reject_reasons"] for row in rejected] == [reasons]
+    assert rejected[0]["Station"] == "Mysuru"
+
+
+@pytest.mark.parametrize("change, reasons", REJECTED)
+def test_strict_raises(feed, tmp_path, change, reasons):
+    strict = clean.clean_station(feed(change, {}), mode="strict")
+    with pytest.raises(PySparkException):
+        strict.write.parquet(str(tmp_path / "out"))
+    assert not list((tmp_path / "out").glob("*.parquet"))
+    column = "timestamp" if reasons[0] in ("date", "time") else reasons[0]
+    with pytest.raises(PySparkException):
+        strict.select(column).collect()
+
+
+def test_strict_passes_good_rows(feed):
+    good = feed({}, {"Temperature": "nan"}, {"Humidity": "NA"}, {"Time": ""})
+    strict = clean.clean_station(good, mode="strict").collect()
+    assert strict == clean.clean_station(good).collect()
+    assert strict[3]["timestamp"] == "2024-01-02T00:00:00.00+05:30"
+
+
+def test_missing_measure(feed):
+    raw = feed({}, without=["Humidity", "Station Id"])
+    tidy = clean.clean_station(raw)
+    assert tidy.first()["humidity"] is None and "stationID" not in tidy.columns
+    with pytest.raises(ValueError, match="Humidity"):
+        clean.clean_station(raw, mode="strict")
+
+
+def test_missing_display_column(feed):
+    raw = feed({}, without=["BACKGROUND"])
+    assert "WEATHER_ICON" not in clean.clean_station(raw).columns
+    with pytest.raises(ValueError, match="BACKGROUND"):
+        clean.drop_columns(raw, strict=True)
+    with pytest.raises(ValueError, match="BACKGROUND"):
+        clean.clean_feed(raw, "imd_Other", mode="strict")
+
+
+def test_expected_columns(feed):
+    checked = clean.expected_columns(feed({}, without=["Humidity", "Moonset"])).collect()
+    assert len(checked) == 16
+    assert {row["column"] for row in checked if not row["present"]} == {"Humidity", "Moonset"}
+
+
+@pytest.mark.parametrize(
+    "change, stamp, reasons",
+    [
+        ({}, "2024-01-02T06:30:00.00+05:30", []),
+        ({"TIME": "6:3:0"}, "2024-01-02T06:03:00.00+05:30", []),
+        ({"TIME": "06:30"}, None, ["time"]),
+        ({"TIME": "24:00:00"}, None, ["time"]),
+        ({"TIME": None}, None, ["time"]),
+        ({"DATE": "x"}, None, ["date"]),
+    ],
+)
+def test_aws(feed, change, stamp, reasons):
+    raw = feed(change, base=AWS_ROW)
+    tidy = clean.clean_aws(raw, with_reasons=True)
+    assert tidy.columns == ["timestamp", "stationID", "RAIN", "reject_reasons"]
+    row = tidy.first()
+    assert (row["timestamp"], row["stationID"], row["RAIN"]) == (stamp, "A1", "1")
+    assert row["reject_reasons"] == reasons
+    if reasons:
+        with pytest.raises(PySparkException):
+            clean.clean_aws(raw, mode="strict").collect()
+
+
+def test_by_dataset_types_meet_as_text(feed):
+    mixed = clean.clean_by_dataset(
+        {S.STATION_DATASET: feed({}), S.AWS_DATASET: feed({"humidity": "n/a"}, base=AWS_ROW)}
+    )
+    rows = {row["dataset"]: row for row in mixed.collect()}
+    assert rows[S.STATION_DATASET]["humidity"] == "70.0"
+    assert rows[S.AWS_DATASET]["humidity"] == "n/a"
+    assert rows[S.AWS_DATASET]["stationName"] is None
+
+
+def test_unknown_mode(feed):
+    with pytest.raises(ValueError, match="mode"):
+        clean.clean_station(feed({}), mode="lenient")
+
+
+def test_one_narrow_stage(feed, plan):
+    for tidy in (clean.clean_station(feed({})), clean.clean_station(feed({}), with_reasons=True)):
+        text = plan(tidy).split("== Physical Plan ==")[1]
+        assert "Exchange" not in text and "Python" not in text
+        assert text.count("try_to_date") + text.count("gettimestamp") <= 2

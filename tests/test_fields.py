@@ -1,0 +1,123 @@
+"""Single fields, against stated cases and against Python's own rules."""
+
+import random
+
+import pandas as pd
+from pyspark.sql import functions as F
+
+from barograph import functions as B
+
+def test_pad_hour(mapped):
+    texts = ["3", "12", "0", "123", "-1", "", None]
+    assert mapped(texts, B.pad_hour) == ["03", "12", "00", "123", "-1", "00", None]
+    assert mapped(texts[:-1], B.pad_hour) == [t.zfill(2) for t in texts[:-1]]
+
+
+def test_normalise_clock_cases(mapped):
+    good = {"05:48": "05:48", "5:48": "05:48", "5:7": "05:07", "23:59": "23:59"}
+    bad = ["24:00", "05:48:00", " 05:48", "05:48 ", "", "NA", None, "--", "548", "0548", "05:48\n", "005:48"]
+    assert mapped(list(good), B.normalise_clock) == list(good.values())
+    assert mapped(bad, B.normalise_clock) == [None] * len(bad)
+
+
+def _texts(alphabet, n, longest, seed):
+    draw = random.Random(seed)
+    return ["".join(draw.choice(alphabet) for _ in range(draw.randint(0, longest))) for _ in range(n)]
+
+
+def test_normalise_clock_like_pandas(mapped):
+    texts = _texts("0123456789::: ", 4000, 5, 1) + [f"{h}:{m:02}" for h in range(26) for m in range(62)]
+    expected = pd.to_datetime(pd.Series(texts), errors="coerce", format="%H:%M").dt.strftime("%H:%M")
+    expected = [None if pd.isna(x) else x for x in expected]
+    assert mapped(texts, B.normalise_clock) == expected
+    assert sum(x is not None for x in expected) > 500
+
+
+def test_parse_clock_hms_like_pandas(mapped):
+    texts = _texts("0123456::: ", 3000, 8, 2) + [
+        f"{h}:{m}:{s}" for h in (0, 5, 23, 24) for m in (0, 7, 59, 60) for s in range(64)
+    ]
+    expected = pd.to_datetime(pd.Series(texts), errors="coerce", format="%H:%M:%S")
+    expected = [None if pd.isna(x) else x for x in expected.dt.strftime("%H:%M:%S")]
+    assert mapped(texts, B.parse_clock_hms) == expected
+    assert sum(x is not None for x in expected) > 500
+
+
+def test_parse_clock_hms_cases(mapped):
+    texts = ["06:30:00", "6:3:0", "06:30", "24:00:00", None, "10:59:60", "23:59:61", "1:2:62"]
+    expected = ["06:30:00", "06:03:00", None, None, None, "11:00:00", "00:00:01", None]
+    assert mapped(texts, B.parse_clock_hms) == expected
+
+
+def _python_number(text):
+    if text in ("NA", ""):
+        return None, False
+    try:
+        number = float(text)
+    except ValueError:
+        return None, True
+    return (None if number != number else number), False
+
+
+def test_measure_like_python(mapped):
+    texts = [
+        "NA", "", "25.3", " 7 ", "1e3", "nan", "1d", "1f", "--", "Trace", "1,000", "NA ", "  ", "na",
+        "1_000", "1__0", "_1", "1_", ".5", "5.", ".", "+3", "-0", "inf", "-Infinity", "infinit", "0x10",
+        "0x1p3", "1e400", " 7 ", "\xa07\xa0", "\x1c7", "\x017", "1 2", "1e", "1e+5", "1_0.0_1e1_0", "7\n",
+    ]
+    texts += _texts("0123456789+-._eE nafi", 4000, 6, 3)
+    expected = [_python_number(text) for text in texts]
+    assert mapped(texts, B.measure_number) == [number for number, _ in expected]
+    assert mapped(texts, lambda c: F.coalesce(B.measure_text(c) == "", F.lit(False))) == [bad for _, bad in expected]
+
+
+def test_strip_only_four_characters(mapped):
+    texts = ["\r\n A B\t ", "\xa0Y", "\x0bX", "  ", "", None]
+    assert mapped(texts, B.strip_controls) == ["A B", "\xa0Y", "\x0bX", "", "", None]
+    texts = _texts("ab \t\r\n\x0b ", 500, 6, 4)
+    assert mapped(texts, B.strip_controls) == [text.strip("\r\n\t ") for text in texts]
+
+
+def test_upper_like_python(mapped):
+    texts = ["straße", "ıi", "éà", "बेंगलुरु", "Bengaluru"]
+    assert mapped(texts, B.upper_name) == [text.upper() for text in texts]
+
+
+def test_parse_date(mapped):
+    texts = ["2024-01-02", "2024-13-02", "2024-02-30", "bad", "", None, "9999-12-31", "0001-01-01",
+             "2262-04-11", "1677-09-21", "1677-09-22"]
+    found = [str(day) if day else None for day in mapped(texts, B.parse_date)]
+    assert found == ["2024-01-02", *[None] * 7, "2262-04-11", None, "1677-09-22"]
+    pandas = pd.to_datetime(pd.Series(texts), errors="coerce", format="%Y-%m-%d")
+    assert found == [None if pd.isna(x) else x.strftime("%Y-%m-%d") for x in pandas]
+
+
+def test_parse_date_does_not_depend_on_order(mapped):
+    texts = ["02-01-2024", "13-01-2024"]
+
+    def day_first(c):
+        return B.parse_date(c, "dd-MM-yyyy")
+
+    assert mapped(texts, day_first) == mapped(texts[::-1], day_first)[::-1]
+
+
+def test_timecode_and_labels(mapped, one):
+    moment = B.parse_timecode(F.lit("2024-01-02T03:04:05"))
+    assert one(B.snapshot_date(moment)) == "2024_01_02"
+    assert one(B.snapshot_time(moment)) == "03_04_05"
+    assert str(one(B.snapshot_hour(moment))) == "2024-01-02 03:00:00"
+    assert mapped(["2024-01-02", "x", None], B.parse_timecode) == [None, None, None]
+
+
+def test_names(one):
+    name = B.output_name(F.lit("ka"), F.lit("2023"), F.lit("11"), F.lit("2t"), F.lit("nc"))
+    assert one(name) == "KA_2023_11_2t.nc"
+    prefix = B.object_prefix(F.lit("MW1"), F.lit("Level"), F.lit("all"), F.upper(F.lit("ka")))
+    assert one(B.object_key(prefix, name)) == "MW1-Level/all/KA/KA_2023_11_2t.nc"
+
+
+def test_file_parts(mapped):
+    paths = ["/a.b/c.nc", "/a.b/c", "x.tar.gz", ".nc", "xnc"]
+    assert mapped(paths, B.file_extension) == ["nc", "", "gz", "nc", ""]
+    assert mapped(["/a.b/c.nc", "/a", "a", "a/b/"], B.parent_dir) == ["/a.b", "", "", "a/b"]
+    assert mapped(paths, lambda c: B.has_extension(c, "nc")) == [True, False, False, True, False]
