@@ -58,18 +58,22 @@ def request_days(df):
     return df.withColumn("days", day_list())
 
 
-def request_grid(configs, extension="extension"):
+def request_grid(configs, extension="extension", tasks=None):
     """Requests of each configuration: region x month x variable.
 
     A configuration row holds ``bounds`` (region -> [N, W, S, E]),
     ``variables`` (name -> code), ``start_date``, ``end_date`` and an
     extension. The three dimensions are unfolded from the row itself, one after
-    the other, so no tables are multiplied with each other.
+    the other, so no tables are multiplied with each other. ``tasks`` spreads
+    the regions over that many tasks before their months unfold, for a
+    configuration with very many of them.
     """
     regions = configs.select("*", F.explode("bounds").alias("region", "_box")).drop("bounds")
     boxes = regions.withColumns(
         {name: F.element_at("_box", i + 1) for i, name in enumerate(["north", "west", "south", "east"])}
     ).drop("_box")
+    if tasks is not None:
+        boxes = boxes.repartition(tasks, "region")
     months = expand_months(boxes).drop("start_date", "end_date")
     grid = months.select("*", F.explode("variables").alias("variable", "code")).drop("variables")
     return grid.withColumn("filename", output_name("region", "year", "month", "code", extension))

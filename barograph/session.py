@@ -1,8 +1,18 @@
-"""Where a job may keep the tables it writes between two steps."""
+"""Session settings that suit these jobs, and where they may keep tables."""
 
 import tempfile
 import uuid
 
+# Adaptive execution sizes shuffles and splits hot partitions. The code limit
+# makes Spark fall back to smaller methods where a stage would generate one that
+# the JVM does not compile. Timestamps that carry no zone are taken as UTC.
+SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.session.timeZone": "UTC",
+}
+
 
 def scratch_dir(spark, label):
     """A fresh folder path for one intermediate or checkpoint table.

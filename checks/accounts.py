@@ -109,6 +109,16 @@ def pair_completeness(spark, sf_dir):
     return accounting.pair_completeness(EXPECTED.read(spark, sf_dir), arrived)
 
 
+@CHECKS.add(
+    "lead_pairs",
+    "SELECT run, concat(o_orderkey, '-0h-fc.grib2') AS filename, d AS data_ok, d AND i AS index_ok "
+    f"FROM {PAIRS}",
+)
+def lead_pairs(spark, sf_dir):
+    arrived = ARRIVED_DATA.read(spark, sf_dir).unionByName(ARRIVED_INDEX.read(spark, sf_dir))
+    return accounting.lead_pairs(EXPECTED.read(spark, sf_dir), arrived)
+
+
 @CHECKS.add(
     "attempt_outcomes",
     "SELECT file, attempts, status_code, CASE WHEN status_code = 200 THEN 'ok' WHEN status_code "

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from barograph.functions import object_key, object_prefix, output_name, sidecar_name
 from barograph.operators import availability, requests
-from barograph.plans import plan_forecast, published_runs
+from barograph.plans import plan_forecast, plan_requests, published_runs
 from barograph.sources import listing_links, region_dims, variable_dims
 from checks.feeds import (
     FORECASTS,
@@ -99,6 +99,36 @@ def request_grid(spark, sf_dir):
     return requests.request_grid(requests.date_ranges(configs(spark, sf_dir)))
 
 
+# What is there already: the files of every month in which a supplier's goods
+# came back.
+RETURNED = (
+    "(SELECT DISTINCT concat('DS', CAST(l_suppkey AS STRING)) AS ds_id, strftime(l_shipdate, '%Y') AS year, "
+    "strftime(l_shipdate, '%m') AS month FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 45)"
+)
+
+
+@CHECKS.add(
+    "requests_to_run",
+    "SELECT ds_id, filename, format('{}-Single_Level/all/{}/{}', ds_id, upper(region), filename) AS object_key "
+    f"FROM {GRID_SQL} g WHERE NOT EXISTS (SELECT 1 FROM {RETURNED} x WHERE x.ds_id = g.ds_id "
+    "AND x.year = g.year AND x.month = g.month)",
+)
+def requests_to_run(spark, sf_dir):
+    returned = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R' AND l_quantity > 45")
+    units = returned.select(
+        F.concat(F.lit("DS"), F.col("l_suppkey").cast("string")).alias("ds_id"),
+        F.date_format("l_shipdate", "yyyy").alias("year"),
+        F.date_format("l_shipdate", "MM").alias("month"),
+        F.explode(F.array(*[F.lit(name) for name in BOUNDS])).alias("region"),
+    )
+    units = units.withColumn("code", F.explode(F.array(*[F.lit(code) for code in VARIABLES.values()])))
+    prefix = object_prefix("ds_id", F.lit("Single_Level"), F.lit("all"), F.upper("region"))
+    name = output_name("region", "year", "month", "code", F.lit("nc"))
+    existing = units.select(object_key(prefix, name).alias("object_key"))
+    planned = plan_requests(configs(spark, sf_dir), existing, overwrite=False)
+    return planned.select("ds_id", "filename", "object_key")
+
+
 RANGES = Feed(
     "orders",
     {

@@ -20,7 +20,7 @@ VARIABLES = {
 def configs(spark):
     def make(*ranges):
         rows = [
-            ("MW0016DS0046", "ERA5_Reanalysis_Single_Level", "all_india_netcdf", "ECMWF CDS", "nc",
+            ("DS0046", "Single_Level", "all_files", "store", "nc",
              start, end, {"ka": [19.0, 74.0, 11.0, 79.0]}, VARIABLES)
             for start, end in ranges
         ]
@@ -44,7 +44,7 @@ def test_grid(configs):
     first = next(r for r in rows if r["code"] == "2t")
     assert first["filename"] == "KA_2023_11_2t.nc"
     assert first["object_key"] == (
-        "MW0016DS0046-ERA5_Reanalysis_Single_Level/all_india_netcdf/KA/KA_2023_11_2t.nc"
+        "DS0046-Single_Level/all_files/KA/KA_2023_11_2t.nc"
     )
     assert [first[n] for n in ("north", "west", "south", "east")] == [19, 74, 11, 79]
 
@@ -149,12 +149,12 @@ def test_latest_published(spark, days, now, latest):
 
 def test_forecast_files(spark):
     runs = spark.createDataFrame(
-        [("https://data.ecmwf.int/forecasts", date(2024, 1, 2)), ("https://other", None)],
+        [("https://data.example/forecasts", date(2024, 1, 2)), ("https://other", None)],
         "source string, latest date",
     )
     files = plan_forecast(runs).orderBy("slot").collect()
     assert [f["lead"] for f in files] == ["0h", "6h"]
-    url = "https://data.ecmwf.int/forecasts/20240102/00z/ifs/0p25/oper/20240102000000-0h-oper-fc"
+    url = "https://data.example/forecasts/20240102/00z/ifs/0p25/oper/20240102000000-0h-oper-fc"
     assert (files[0]["url"], files[0]["index_url"]) == (url + ".grib2", url + ".index")
     assert [f["lead"] for f in plan_forecast(runs, leads="12h").collect()] == ["12h"]
     with pytest.raises(PySparkException, match="unsupported"):
