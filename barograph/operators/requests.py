@@ -42,6 +42,13 @@ def date_ranges(df, start="start_date", end="end_date"):
     return df.withColumns({name: F.try_to_date(name, "yyyy-MM-dd") for name in (start, end)})
 
 
+def rejected_ranges(df, start="start_date", end="end_date"):
+    """Configurations of which a range bound is no date, with the bounds' names."""
+    bad = [F.when(F.try_to_date(name, "yyyy-MM-dd").isNull(), name) for name in (start, end)]
+    named = df.withColumn("reject_reasons", F.array_compact(F.array(*bad)))
+    return named.filter(F.size("reject_reasons") > 0)
+
+
 def month_to_date(df, latest="latest"):
     """Range from the first of the latest timestamp's month to its day."""
     day = F.col(latest).cast("date")

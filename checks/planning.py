@@ -99,6 +99,15 @@ def request_grid(spark, sf_dir):
     return requests.request_grid(requests.date_ranges(configs(spark, sf_dir)))
 
 
+@CHECKS.add(
+    "rejected_ranges",
+    f"SELECT ds_id, 'end_date' AS reasons FROM {CONFIG_SQL} WHERE try_cast(end_date AS DATE) IS NULL",
+)
+def rejected_ranges(spark, sf_dir):
+    rejected = requests.rejected_ranges(configs(spark, sf_dir))
+    return rejected.select("ds_id", F.array_join("reject_reasons", ",").alias("reasons"))
+
+
 # What is there already: the files of every month in which a supplier's goods
 # came back.
 RETURNED = (

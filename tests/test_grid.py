@@ -127,6 +127,17 @@ def test_fulfil_requests(spark, points, boxes, requested, monkeypatch):
     assert subset.fulfil_requests(grid, requested.filter("year = '1900'")).count() == 0
 
 
+def test_requests_prune_the_scan(spark, points, requested, tmp_path, plan):
+    path = str(tmp_path / "grid")
+    spark.createDataFrame(points, GRID).write.partitionBy("variable").parquet(path)
+    only = requested.filter("variable = 'tp'")
+    text = plan(subset.fulfil_requests(spark.read.parquet(path), only)).split("== Physical Plan ==")[1]
+    scan = next(line for line in text.splitlines() if "FileScan" in line)
+    assert "GreaterThanOrEqual(valid_time" in scan and "LessThanOrEqual(lat" in scan
+    assert "variable" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "NestedLoop" not in text and text.count("BroadcastHashJoin") == 2
+
+
 def test_written_units(spark, points, boxes, requested, tmp_path):
     grid, out = spark.createDataFrame(points, GRID), str(tmp_path / "units")
     for _ in range(2):
@@ -154,6 +165,12 @@ def test_copies_spread_over_salts(spark):
     assert copies.withColumn("s", joins._salt(copies, 32)).select("s").distinct().count() == 16
 
 
+def test_salting_rows_with_maps(spark):
+    left = spark.range(10).selectExpr("id AS k", "array(map('a', id)) AS m")
+    right = spark.range(5).selectExpr("id AS k")
+    assert joins.lookup_join(left, right, ["k"], "left_semi", small=False).count() == 5
+
+
 def test_size_check(spark):
     assert joins.fits_in_broadcast(spark.range(100), max_rows=100)
     assert not joins.fits_in_broadcast(spark.range(101), max_rows=100)

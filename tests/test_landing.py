@@ -13,6 +13,7 @@ from barograph.plans import clean_snapshots
 from barograph.session import scratch_dir
 from barograph.sinks import read_snapshots, write_snapshots
 from barograph.sources import (
+    dataset_filter,
     landed_payloads,
     latest_payloads,
     parse_payloads,
@@ -94,10 +95,24 @@ def test_last_file_counts(spark, landing, plan):
     payloads = landed_payloads(spark, str(landing.folder))
     kept = latest_payloads(payloads)
     assert {(r["timecode"], r["landed_file"][-6:]) for r in kept.collect()} == {("t1", "a.json"), ("t2", "z.json")}
+    again = latest_payloads(kept).collect()
+    assert len(again) == 2 and kept.columns == payloads.columns
+    text = plan(kept).split("== Physical Plan ==")[1]
+    assert text.count("content") > 0 and "Exchange hashpartitioning(datacode" in text
+    assert text.index("BroadcastHashJoin") < text.index("Exchange hashpartitioning(datacode")
     names = payloads.groupBy("timecode").agg(F.max("landed_at"))
     assert "content" not in plan(names).split("ReadSchema")[1]
 
 
+def test_only_the_dataset_is_listed(spark, landing, plan):
+    landing.add("t1", [RECORD])
+    landing.add("t1", [AWS_RECORD], code=S.AWS_DATASET)
+    landing.add("t1", "{}", code="cds")
+    payloads = dataset_filter(landed_payloads(spark, str(landing.folder)), "datacode")
+    assert "StartsWith" in plan(payloads).split("PartitionFilters")[1].split("]")[0]
+    assert {r["datacode"] for r in payloads.collect()} == {S.STATION_DATASET, S.AWS_DATASET}
+
+
 def test_batch_run(spark, landing, tmp_path):
     landing.add("2024-01-02T03-00-00", [RECORD, {**RECORD, "Station": "x,\"y\"\nz", "Temperature": "NA"}])
     landing.add("2024-01-02T04-00-00", [{**RECORD, "Time": 4, "Temperature": 7}])

@@ -49,6 +49,13 @@ def test_grid(configs):
     assert [first[n] for n in ("north", "west", "south", "east")] == [19, 74, 11, 79]
 
 
+def test_grid_spread_over_tasks(configs):
+    config = requests.date_ranges(configs(("2023-11-20", "2024-02-10")))
+    spread = requests.request_grid(config, tasks=4)
+    assert spread.exceptAll(requests.request_grid(config)).count() == 0
+    assert spread.count() == 20
+
+
 @pytest.mark.parametrize(
     "start, end",
     [("2024-01-20", "2024-01-10"), ("2024-03-01", "2024-01-10"), ("None", "None"), ("2024-01-01", None)],
