@@ -22,7 +22,7 @@ KEYS = ("source", "lang", "topic")
 TEMPERATURE = 0.5
 BUDGET = 0.5
 ROUNDS = 30
-TOLERANCE = 1e-10
+TOLERANCE = 1e-9
 SEED = "mix-1"
 MOST_BROADCAST_CELLS = 100_000
 
@@ -60,12 +60,14 @@ def rake(cells, targets, stored, rounds=ROUNDS, tolerance=TOLERANCE):
     goals = {}
     for key, target in targets.items():
         there = cells.groupBy(key).agg(F.sum("base").alias("n")).where("n > 0").select(key)
-        there = stored(there.join(target, key).where("target > 0"), "targets")
-        share = there.agg(F.sum("target").alias("all")).first()["all"] or 1.0
-        goals[key] = there.select(key, (F.col("target") / F.lit(share)).alias("target"))
+        goal = there.join(target, key).where("target > 0")
+        share = goal.agg(F.sum("target").alias("all")).first()["all"] or 1.0
+        goals[key] = stored(
+            goal.select(key, (F.col("target") / F.lit(share)).alias("target")), "targets"
+        )
     weighed = cells.withColumn("weight", F.col("base") / F.lit(float(everything)))
     for _ in range(rounds):
-        start = weighed = stored(weighed.withColumn("was", F.col("weight")), "raked")
+        weighed = weighed.withColumn("was", F.col("weight"))
         for key, goal in goals.items():
             sums = weighed.groupBy(key).agg(F.sum("weight").alias("now"))
             factor = sums.join(goal, key, "left").select(
@@ -74,7 +76,10 @@ def rake(cells, targets, stored, rounds=ROUNDS, tolerance=TOLERANCE):
                 .otherwise(0.0)
                 .alias("factor"),
             )
-            weighed = weighed.join(factor, key).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
+            weighed = weighed.join(factor, key).withColumn(
+                "weight", F.col("weight") * F.col("factor")
+            )
+            weighed = weighed.drop("factor")
         weighed = stored(weighed, "raked")
         gap = weighed.agg(F.max(F.abs(F.col("weight") - F.col("was"))).alias("gap")).first()["gap"]
         weighed = weighed.drop("was")

@@ -136,10 +136,12 @@ class Detector:
     def passages(self, text):
         """``(start, end, weight)`` of significant passages, in words of the text."""
         known, tokens = self.scores, tokens_of(text)
-        steps, last = [], -1
+        steps, last, previous = [], -1, None
         for at, token in enumerate(tokens):
             score = known.get(token)
-            if score is not None:
+            # A word said over and over is one sign, not many independent ones.
+            repeated, previous = token == previous, token
+            if score is not None and not repeated:
                 # The words between two scored ones only drift down: one step for all.
                 if at - last > 1:
                     steps.append((at - 1, -DRIFT * (at - last - 1)))
