@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from barograph.llm.common import over_batches, stored, word_ids, words_of
 
 SKETCH = 64
-HOT_LIST = 64
 
 
 def shingles(text, size, cache):
@@ -176,19 +175,62 @@ def private_counts(docs, size):
     )
 
 
+def mixed_lists(lists):
+    """Rows of lists that hold several classes."""
+    several = (
+        lists.groupBy("value")
+        .agg(F.min("class").alias("low"), F.max("class").alias("high"))
+        .where("low <> high")
+        .select("value")
+    )
+    return lists.join(several, "value", "left_semi")
+
+
+def side(lists, name, *more):
+    """Rows of lists as one side of a pair."""
+    plain = {"rep": name, "n": f"n_{name}", "usable": f"u_{name}", "class": f"c_{name}"}
+    named = [F.col(old).alias(new) for old, new in plain.items()]
+    return lists.select("value", *named, *[F.col(m).alias(f"{m}_{name}") for m in more])
+
+
+def could_link(met, percent, further=None):
+    """Distinct ``a < b`` of pairs whose sizes and shared shingles allow the similarity."""
+    enough = F.lit(100 + percent) * F.least("u_a", "u_b") >= F.lit(percent) * (
+        F.col("n_a") + F.col("n_b")
+    )
+    met = met.where(alike(percent) & enough if further is None else alike(percent) & enough & further)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def relabelled(lists, edges, classes):
+    """Lists with the classes that further edges have joined."""
+    of = lambda x: classes.select(F.col("node").alias(x), F.col("component").alias(f"c_{x}"))
+    between = (
+        edges.join(of("a"), "a", "left")
+        .join(of("b"), "b", "left")
+        .select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b"))
+    )
+    joined = components(between).withColumnRenamed("node", "class")
+    return (
+        lists.join(joined, "class", "left")
+        .withColumn("class", F.coalesce("component", "class"))
+        .drop("component")
+    )
+
+
 def near_duplicates(
-    docs, size=5, percent=80, k=SKETCH, hot_list=HOT_LIST, id_col="doc_id", text_col="text"
+    docs, size=5, percent=80, k=SKETCH, id_col="doc_id", text_col="text"
 ):
     """``id, n_shingles, component``: one row per input row.
 
     Copies of one shingle set are represented by their smallest id. Of the
     retained values of a set only the rarest go into the inverted lists: two
-    similar sets share so many that one of these must be among them. Each list
-    first meets its most typical member alone, which joins a family of near
-    copies without comparing all of its pairs. Only lists that still hold
-    several classes compare the members that are not of the main class with
-    the others; in long lists a member must also have enough shingles that
-    occur elsewhere.
+    similar sets share so many that one of these must be among them. A list is
+    not compared pair by pair. It first meets its most typical member, which
+    joins a family of near copies; where several classes are left, shingles that
+    occur in one text alone bound what the text can share, and the list meets
+    the most central member by that bound. Only what is still outside the main
+    class of a list, and can reach the similarity, meets the other members.
     """
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     hashed = stored(sketched(texts, size, k, "id"), "sketches")
@@ -228,7 +270,9 @@ def near_duplicates(
             F.count("*").alias("members"),
         )
         .where("members > 1")
-        .select("value", "members", F.negative("head.minus").alias("head"), F.col("head.n").alias("head_n")),
+        .select(
+            "value", F.negative("head.minus").alias("head"), F.col("head.n").alias("head_n")
+        ),
         "heads",
     )
     first = (
@@ -257,53 +301,74 @@ def near_duplicates(
     edges = confirmed(first, "first")
     classes = components(edges)
     placed = stored(
-        lists.join(heads.select("value", "members", "head"), "value")
+        lists.join(heads.select("value", "head"), "value")
         .join(classes.withColumnRenamed("node", "rep"), "rep", "left")
-        .withColumn("class", F.coalesce("component", "rep"))
-        .select("value", "rep", "n", "members", "head", "class"),
+        .select("value", "rep", "n", F.coalesce("component", "rep").alias("class")),
         "placed",
     )
-    mains = (
-        placed.groupBy("value")
-        .agg(
-            F.max(F.when(F.col("rep") == F.col("head"), F.col("class"))).alias("main"),
-            F.min("class").alias("low"),
-            F.max("class").alias("high"),
-        )
-        .where("low <> high")
-        .select("value", "main")
+    mixed = stored(mixed_lists(placed), "mixed")
+    # No other text of these lists has the private shingles of a text, so they
+    # bound what it can share, and the text with the fewest is the most central.
+    private = private_counts(
+        texts.join(mixed.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"), size
     )
-    mixed = stored(placed.join(mains, "value"), "mixed")
-    hot = mixed.where(F.col("members") > hot_list).select(F.col("rep").alias("id")).distinct()
-    private = private_counts(texts.join(hot, "id", "left_semi"), size)
-    usable = F.col("n") - F.when(F.col("members") > hot_list, F.coalesce("private", F.lit(0))).otherwise(0)
-    open_lists = stored(
+    opened = (
         mixed.join(private, "rep", "left")
-        .withColumn("usable", usable)
+        .withColumn("usable", F.col("n") - F.coalesce("private", F.lit(0)))
         .where(F.lit(100) * F.col("usable") >= F.lit(percent) * F.col("n"))
-        .select("value", "rep", "n", "usable", "class", "main"),
-        "open-lists",
+        .select("value", "rep", "n", "usable", "class")
     )
-    side = lambda df, x: df.select(
-        "value", F.col("rep").alias(x), F.col("n").alias(f"n_{x}"),
-        F.col("usable").alias(f"u_{x}"), F.col("class").alias(f"c_{x}"),
+    keys = opened.groupBy("rep").agg(F.array_sort(F.collect_set("value")).alias("keys"))
+    opened = stored(opened.join(keys, "rep"), "open-lists")
+    centres = opened.groupBy("value").agg(
+        F.max(
+            F.struct(
+                (F.col("usable") / F.col("n")).alias("share"), "n",
+                F.negative("rep").alias("minus"), "usable", "class",
+            )
+        ).alias("centre")
     )
-    met = (
-        side(open_lists.where(F.col("class") != F.col("main")), "a")
-        .join(side(open_lists, "b"), "value")
-        .where("c_a <> c_b")
-        .where(alike(percent))
-        .where(
-            F.lit(100 + percent) * F.least("u_a", "u_b")
-            >= F.lit(percent) * (F.col("n_a") + F.col("n_b"))
+    around = (
+        side(opened, "a")
+        .join(
+            centres.select(
+                "value", F.negative("centre.minus").alias("b"), F.col("centre.n").alias("n_b"),
+                F.col("centre.usable").alias("u_b"), F.col("centre.class").alias("c_b"),
+            ),
+            "value",
         )
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
+        .where("c_a <> c_b")
+    )
+    second = stored(
+        could_link(around, percent).join(first, ["a", "b"], "left_anti"), "second-pairs"
     )
-    second = stored(met.join(first, ["a", "b"], "left_anti"), "second-pairs")
     more = confirmed(second, "second")
+    opened = relabelled(opened, more, classes)
+    mains = opened.groupBy("value").agg(
+        F.max(F.struct((F.col("usable") / F.col("n")).alias("share"), "n", "class")).alias("centre")
+    )
+    opened = stored(
+        mixed_lists(opened).join(
+            mains.select("value", F.col("centre.class").alias("main")), "value"
+        ),
+        "last-lists",
+    )
+    met = (
+        side(opened.where(F.col("class") != F.col("main")), "a", "keys")
+        .join(side(opened, "b", "keys"), "value")
+        .where("c_a <> c_b")
+    )
+    # Two texts meet in the first list they share, and only there.
+    least = F.array_min(F.array_intersect("keys_a", "keys_b")) == F.col("value")
+    third = stored(
+        could_link(met, percent, least)
+        .join(first, ["a", "b"], "left_anti")
+        .join(second, ["a", "b"], "left_anti"),
+        "third-pairs",
+    )
+    last = confirmed(third, "third")
     linked = stored(
-        components(edges.union(more)).withColumnRenamed("node", "rep"), "classes"
+        components(edges.union(more).union(last)).withColumnRenamed("node", "rep"), "classes"
     )
     of_copies = copies.join(linked, "rep", "left").select(
         "sig", F.coalesce("component", "rep").alias("component")
