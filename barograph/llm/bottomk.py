@@ -89,31 +89,38 @@ def estimated(pairs, sketches, percent, k):
     return both.where(F.when(complete, exact).otherwise(seen)).select("a", "b")
 
 
-def verified(pairs, texts, percent, size):
-    """Keep pairs whose full shingle sets reach the similarity."""
+def measured(pairs, texts, size):
+    """``a, b, n_a, n_b, both``: sizes and overlap of the full shingle sets of pairs."""
 
     def make():
         cache = {}
 
         def step(rows):
-            left, right, last, mine = [], [], None, None
+            out, last, mine = [], None, None
             for a, b, x, y in zip(rows["a"], rows["b"], rows["text_a"], rows["text_b"]):
-                if a != last:
-                    last, mine = a, shingles(x, size, cache)
+                if (a, x) != last:
+                    last, mine = (a, x), shingles(x, size, cache)
                 other = shingles(y, size, cache)
                 both = len(np.intersect1d(mine, other, assume_unique=True))
-                if 100 * both >= percent * (len(mine) + len(other) - both):
-                    left.append(a)
-                    right.append(b)
-            return {"a": left, "b": right}
+                out.append((a, b, len(mine), len(other), both))
+            names = ("a", "b", "n_a", "n_b", "both")
+            return {name: [row[i] for row in out] for i, name in enumerate(names)}
 
         return step
 
     side = lambda x: texts.select(F.col("id").alias(x), F.col("text").alias(f"text_{x}"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
-    return over_batches(
-        joined, "a bigint, b bigint", make, ["a", "b", "text_a", "text_b"]
-    ).distinct()
+    schema = "a bigint, b bigint, n_a bigint, n_b bigint, both bigint"
+    found = over_batches(joined, schema, make, ["a", "b", "text_a", "text_b"])
+    return found.groupBy("a", "b").agg(
+        *[F.max_by(c, "both").alias(c) for c in ("n_a", "n_b")], F.max("both").alias("both")
+    )
+
+
+def links(pairs, percent):
+    """Measured pairs that reach the similarity."""
+    union = F.col("n_a") + F.col("n_b") - F.col("both")
+    return pairs.where(F.lit(100) * F.col("both") >= F.lit(percent) * union).select("a", "b")
 
 
 def components(edges, label="components"):
@@ -193,12 +200,11 @@ def side(lists, name, *more):
     return lists.select("value", *named, *[F.col(m).alias(f"{m}_{name}") for m in more])
 
 
-def could_link(met, percent, further=None):
-    """Distinct ``a < b`` of pairs whose sizes and shared shingles allow the similarity."""
-    enough = F.lit(100 + percent) * F.least("u_a", "u_b") >= F.lit(percent) * (
-        F.col("n_a") + F.col("n_b")
-    )
-    met = met.where(alike(percent) & enough if further is None else alike(percent) & enough & further)
+def could_link(met, percent, most, further=None):
+    """Distinct ``a < b`` of pairs whose sizes, and ``most`` shared shingles, allow the similarity."""
+    enough = F.lit(100 + percent) * most >= F.lit(percent) * (F.col("n_a") + F.col("n_b"))
+    allowed = alike(percent) & enough
+    met = met.where(allowed if further is None else allowed & further)
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -296,9 +302,10 @@ def near_duplicates(
 
     def confirmed(pairs, label):
         near = stored(estimated(pairs, sketches, percent, k), f"{label}-near")
-        return stored(verified(near, wanted(near), percent, size), f"{label}-edges")
+        return stored(measured(near, wanted(near), size), f"{label}-measured")
 
-    edges = confirmed(first, "first")
+    overlaps = confirmed(first, "first")
+    edges = links(overlaps, percent)
     classes = components(edges)
     placed = stored(
         lists.join(heads.select("value", "head"), "value")
@@ -320,53 +327,65 @@ def near_duplicates(
     )
     keys = opened.groupBy("rep").agg(F.array_sort(F.collect_set("value")).alias("keys"))
     opened = stored(opened.join(keys, "rep"), "open-lists")
-    centres = opened.groupBy("value").agg(
-        F.max(
-            F.struct(
-                (F.col("usable") / F.col("n")).alias("share"), "n",
-                F.negative("rep").alias("minus"), "usable", "class",
-            )
-        ).alias("centre")
-    )
-    around = (
-        side(opened, "a")
-        .join(
-            centres.select(
-                "value", F.negative("centre.minus").alias("b"), F.col("centre.n").alias("n_b"),
-                F.col("centre.usable").alias("u_b"), F.col("centre.class").alias("c_b"),
-            ),
-            "value",
+    centres = stored(
+        opened.groupBy("value")
+        .agg(
+            F.max(
+                F.struct(
+                    (F.col("usable") / F.col("n")).alias("share"), "n",
+                    F.negative("rep").alias("minus"), "usable",
+                )
+            ).alias("centre")
         )
-        .where("c_a <> c_b")
+        .select(
+            "value", F.negative("centre.minus").alias("b"), F.col("centre.n").alias("n_b"),
+            F.col("centre.usable").alias("u_b"),
+        ),
+        "centres",
     )
+    around = side(opened, "a").join(centres, "value").where("a <> b")
     second = stored(
-        could_link(around, percent).join(first, ["a", "b"], "left_anti"), "second-pairs"
+        could_link(around, percent, F.least("u_a", "u_b")).join(first, ["a", "b"], "left_anti"),
+        "second-pairs",
     )
-    more = confirmed(second, "second")
-    opened = relabelled(opened, more, classes)
+    found = confirmed(second, "second")
+    more = links(found, percent)
+    overlaps = overlaps.union(found).select("a", "b", "both")
+    centred = (
+        relabelled(opened, more, classes)
+        .join(centres.select("value", F.col("b").alias("centre")), "value")
+        .withColumns({"a": F.least("rep", "centre"), "b": F.greatest("rep", "centre")})
+        .join(overlaps, ["a", "b"], "left")
+        .withColumn("inside", F.when(F.col("rep") == F.col("centre"), F.col("n")).otherwise(F.col("both")))
+        .drop("a", "b", "both")
+    )
+    opened = stored(mixed_lists(centred), "last-lists")
     mains = opened.groupBy("value").agg(
-        F.max(F.struct((F.col("usable") / F.col("n")).alias("share"), "n", "class")).alias("centre")
+        F.max(F.struct((F.col("usable") / F.col("n")).alias("share"), "n", "class")).alias("top")
     )
-    opened = stored(
-        mixed_lists(opened).join(
-            mains.select("value", F.col("centre.class").alias("main")), "value"
-        ),
-        "last-lists",
+    minor = opened.join(mains.select("value", F.col("top.class").alias("main")), "value").where(
+        F.col("class") != F.col("main")
     )
     met = (
-        side(opened.where(F.col("class") != F.col("main")), "a", "keys")
-        .join(side(opened, "b", "keys"), "value")
+        side(minor, "a", "keys", "inside")
+        .join(side(opened, "b", "keys", "inside"), "value")
         .where("c_a <> c_b")
     )
+    # What two texts share lies inside of the centre of their list or outside of it.
+    bound = F.least("inside_a", "inside_b") + F.least(
+        F.col("u_a") - F.col("inside_a"), F.col("u_b") - F.col("inside_b")
+    )
+    known = F.col("inside_a").isNotNull() & F.col("inside_b").isNotNull()
+    most = F.when(known, F.least(bound, "u_a", "u_b")).otherwise(F.least("u_a", "u_b"))
     # Two texts meet in the first list they share, and only there.
-    least = F.array_min(F.array_intersect("keys_a", "keys_b")) == F.col("value")
+    meet = F.array_min(F.array_intersect("keys_a", "keys_b")) == F.col("value")
     third = stored(
-        could_link(met, percent, least)
+        could_link(met, percent, most, meet)
         .join(first, ["a", "b"], "left_anti")
         .join(second, ["a", "b"], "left_anti"),
         "third-pairs",
     )
-    last = confirmed(third, "third")
+    last = links(confirmed(third, "third"), percent)
     linked = stored(
         components(edges.union(more).union(last)).withColumnRenamed("node", "rep"), "classes"
     )
