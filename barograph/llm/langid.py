@@ -20,13 +20,14 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
-from barograph.llm.common import MAX_CACHED, over_batches, rows_of
+from barograph.llm.common import over_batches, rows_of
 
 LETTERS = re.compile(r"[^\W\d_]+")
 ORDERS = (4, 3, 2, 1)
 LEAST_SHARE = 2e-6
 BACKOFF = 0.7
 UNKNOWN = "und"
+MAX_CACHED = 500_000
 
 
 def letter_words(text):
@@ -67,18 +68,17 @@ def gram_counts(words):
 
     def make():
         def step(rows):
-            counts = Counter()
+            counts = {}
             for lang, word, n in zip(rows["lang"], rows["token"], rows["n"]):
                 for order in ORDERS:
+                    held = counts.get((lang, order))
+                    if held is None:
+                        held = counts[lang, order] = {}
                     for gram in grams_of(word, order):
-                        counts[lang, order, gram] += n
-            keys = list(counts)
-            return {
-                "lang": [k[0] for k in keys],
-                "size": [k[1] for k in keys],
-                "token": [k[2] for k in keys],
-                "n": [counts[k] for k in keys],
-            }
+                        held[gram] = held.get(gram, 0) + n
+            flat = [(*key, gram, n) for key, held in counts.items() for gram, n in held.items()]
+            names = ("lang", "size", "token", "n")
+            return {name: [row[i] for row in flat] for i, name in enumerate(names)}
 
         return step
 
@@ -97,36 +97,54 @@ def frequent(counts, least_share):
 
 
 class Backoff:
-    """Log frequencies by language: of words (order 0), and of n-grams by their order."""
+    """Log frequencies by language: of words (order 0), and of n-grams by their order.
+
+    Each order has a table from token to row and a matrix of rows; the last row
+    of a matrix is for tokens that are not in it.
+    """
 
     def __init__(self, languages, totals, entries):
         self.languages = languages
-        self.places = {lang: i for i, lang in enumerate(languages)}
-        sizes = Counter(size for size, _, _ in entries)
-        self.tables, floors = {}, {}
-        for size in (0, *ORDERS):
-            total = np.array([totals.get((lang, size), 0) for lang in languages], dtype=float)
-            floors[size] = np.log(total + 0.5 * (sizes[size] + 1))
-            self.tables[size] = {}
+        places = {lang: i for i, lang in enumerate(languages)}
+        self.rows = {size: {} for size in (0, *ORDERS)}
+        for size, token, _ in entries:
+            self.rows[size][token] = len(self.rows[size])
+        self.matrix = {}
+        for size, rows in self.rows.items():
+            self.matrix[size] = np.full((len(rows) + 1, len(languages)), 0.5)
         for size, token, by in entries:
-            counts = np.full(len(languages), 0.5)
             for lang, n in by:
-                counts[self.places[lang]] += n
-            self.tables[size][token] = np.log(counts) - floors[size]
-        self.floors = {size: np.log(0.5) - floor for size, floor in floors.items()}
+                self.matrix[size][self.rows[size][token], places[lang]] += n
+        for size, matrix in self.matrix.items():
+            total = np.array([totals.get((lang, size), 0) for lang in languages], dtype=float)
+            self.matrix[size] = np.log(matrix) - np.log(total + 0.5 * len(matrix))
+
+    def scores(self, words):
+        """A row of scores by language for each word."""
+        out = np.zeros((len(words), len(self.languages)))
+        known = np.array([self.rows[0].get(w, -1) for w in words], dtype=np.int64)
+        out[known >= 0] = self.matrix[0][known[known >= 0]]
+        left = np.flatnonzero(known < 0)
+        for step, order in enumerate(ORDERS, 1):
+            rows, matrix = self.rows[order], self.matrix[order]
+            grams = [grams_of(words[i], order) for i in left]
+            sizes = np.array([len(g) for g in grams], dtype=np.int64)
+            places = np.array([rows.get(g, -1) for found in grams for g in found], dtype=np.int64)
+            some = sizes > 0
+            hit = np.zeros(len(left), dtype=bool)
+            if some.any():
+                starts = (np.cumsum(sizes) - sizes)[some]
+                hit[some] = np.add.reduceat(places >= 0, starts) > 0
+                means = np.add.reduceat(matrix[places], starts) / sizes[some][:, None]
+                out[left[hit]] = means[hit[some]] + step * np.log(BACKOFF)
+            left = left[~hit]
+            if not len(left):
+                break
+        return out
 
     def word(self, word):
         """Scores of one word by language."""
-        known = self.tables[0].get(word)
-        if known is not None:
-            return known
-        for step, order in enumerate(ORDERS, 1):
-            table, grams = self.tables[order], grams_of(word, order)
-            found = [table[g] for g in grams if g in table]
-            if found:
-                missing = (len(grams) - len(found)) * self.floors[order]
-                return (np.sum(found, axis=0) + missing) / len(grams) + step * np.log(BACKOFF)
-        return np.zeros(len(self.languages))
+        return self.scores([word])[0]
 
 
 def learn_languages(training, least_share=LEAST_SHARE, stored=lambda df, label: df):
@@ -152,27 +170,32 @@ def identify_languages(docs, model):
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        learned, rows_at, table = shared.value, {}, []
+        learned, rows_at = shared.value, {}
+        table = np.zeros((0, len(learned.languages) if learned else 1))
 
-        def predict(text):
-            words = letter_words(text) if text and learned else []
-            if not words:
-                return UNKNOWN, 0.0
+        def remember(words):
+            nonlocal table
             if len(rows_at) > MAX_CACHED:
                 rows_at.clear()
-                table.clear()
-            for word in set(words).difference(rows_at):
-                rows_at[word] = len(table)
-                table.append(learned.word(word))
-            times = Counter(words)
-            places = np.fromiter((rows_at[w] for w in times), dtype=np.int64, count=len(times))
-            weights = np.fromiter(times.values(), dtype=float, count=len(times))
-            total = weights @ np.stack([table[p] for p in places])
+            new = list(words.difference(rows_at))
+            if len(rows_at) + len(new) > len(table):
+                grown = np.zeros((2 * (len(rows_at) + len(new)), table.shape[1]))
+                grown[: len(rows_at)] = table[: len(rows_at)]
+                table = grown
+            table[len(rows_at) : len(rows_at) + len(new)] = learned.scores(new)
+            rows_at.update(zip(new, range(len(rows_at), len(rows_at) + len(new))))
+
+        def predict(words):
+            if not words:
+                return UNKNOWN, 0.0
+            total = table[[rows_at[w] for w in words]].sum(axis=0)
             best = int(np.argmax(total))
             return learned.languages[best], float(1 / np.exp(total - total[best]).sum())
 
         def step(rows):
-            found = [predict(text) for text in rows["text"]]
+            words = [letter_words(t) if t and learned else [] for t in rows["text"]]
+            remember(set().union(*words))
+            found = [predict(w) for w in words]
             return {
                 "doc_id": rows["doc_id"],
                 "lang_pred": [f[0] for f in found],
