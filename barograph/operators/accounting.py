@@ -113,13 +113,11 @@ def attempt_outcomes(attempts, retries=S.FILE_RETRIES, by=("file",), strict=Fals
     number of retries allows; otherwise ``retrying``. An attempt without any
     status, such as a broken connection, is retried.
     """
-    # Attempt and three-digit status share one number, so the last attempt is a
-    # plain maximum, which hash aggregation can keep.
-    last = F.col("attempt").cast("bigint") * 1000 + F.coalesce("status_code", F.lit(0))
+    last = F.max(F.struct("attempt", F.col("status_code").cast("int").alias("status_code")))
     files = (
         attempts.groupBy(*by)
-        .agg(F.count("*").alias("attempts"), F.max(last).alias("_last"))
-        .withColumn("status_code", F.nullif(F.col("_last") % 1000, F.lit(0)).cast("int"))
+        .agg(F.count("*").alias("attempts"), last.alias("_last"))
+        .withColumn("status_code", F.col("_last.status_code"))
         .drop("_last")
     )
     retried = F.coalesce(F.col("status_code").isin(*S.RETRYABLE_STATUSES), F.lit(True))

@@ -165,7 +165,12 @@ def reject_reasons(df, dataset=S.STATION_DATASET, date_format="yyyy-MM-dd"):
 
 def reject_rows(df, dataset=S.STATION_DATASET, date_format="yyyy-MM-dd"):
     """The raw rows that strict cleaning would fail on, with their reasons."""
-    return reject_reasons(df, dataset, date_format).filter(F.size("reject_reasons") > 0)
+    required, read, problems = _RULES[dataset]
+    df = _complete(df, required, "permissive")
+    raw, found = [column(name) for name in df.columns], problems()
+    # The plain flags decide which rows stay; names are put together for those alone.
+    any_bad = reduce(lambda x, y: x | y, [F.coalesce(bad, F.lit(False)) for bad in found.values()])
+    return _judge(read(df, date_format).filter(any_bad), found).select(*raw, "reject_reasons")
 
 
 def _or_fail(value, reasons, mode):

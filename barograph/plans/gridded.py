@@ -8,18 +8,22 @@ from barograph.operators.report import run_message
 from barograph.operators.requests import date_ranges, object_keys, request_grid, skip_existing
 from barograph.operators.subset import fulfil_requests
 from barograph.sinks import write_requests
+from barograph.sinks.partitioned import DATASET_KEY, REQUEST_KEYS
 
 
 def plan_requests(configs, existing=None, overwrite=True):
     """Named requests of each configuration, less those already there.
 
-    ``existing`` has ``object_key``. With overwriting on, all requests stay and
-    ``replaces`` flags those whose object exists.
+    ``existing`` has ``object_key``, or the units that ``delivered_units`` reads
+    from a destination. With overwriting on, all requests stay and ``replaces``
+    flags those that exist.
     """
     requests = object_keys(request_grid(date_ranges(configs)))
     if existing is None:
         return requests.withColumn("replaces", F.lit(False)) if overwrite else requests
-    return skip_existing(requests, existing, overwrite, on=("object_key",))
+    units = [name for name in (DATASET_KEY, *REQUEST_KEYS) if name in existing.columns]
+    on = ("object_key",) if "object_key" in existing.columns else tuple(units)
+    return skip_existing(requests, existing.select(*on).distinct(), overwrite, on=on)
 
 
 def run_requests(grid, requests, output):

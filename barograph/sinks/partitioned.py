@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 
 SNAPSHOT_KEYS = ["dataset", "snap_date", "snap_time"]
+DATASET_KEY = "ds_id"
 REQUEST_KEYS = ["region", "year", "month", "code"]
 
 # CSV as other tools expect it: quotes doubled, missing values and empty texts
@@ -52,14 +53,22 @@ def read_snapshots(spark, path, schema):
     return spark.read.schema(schema).options(**CSV_OPTIONS).option("multiLine", True).csv(path)
 
 
+def unit_keys(columns):
+    """The keys of a request unit: the dataset, where it is named, and the request."""
+    return [name for name in (DATASET_KEY, *REQUEST_KEYS) if name != DATASET_KEY or name in columns]
+
+
 def write_requests(df, path):
-    """Write request outputs as ``region=/year=/month=/code=`` Parquet files."""
-    _replace_partitions(_gather(df, REQUEST_KEYS), REQUEST_KEYS).parquet(path)
+    """Write request outputs as ``ds_id=/region=/year=/month=/code=`` Parquet files.
+
+    Datasets keep apart, also where they share a region and a code. Rows that
+    name no dataset are written without that level.
+    """
+    keys = unit_keys(df.columns)
+    _replace_partitions(_gather(df, keys), keys).parquet(path)
 
 
-def delivered_units(inventory):
+def delivered_units(inventory, keys=(DATASET_KEY, *REQUEST_KEYS)):
     """Request units found below a destination, read from their file paths."""
-    parts = {
-        name: F.regexp_extract("path", rf"/{name}=([^/]+)/", 1) for name in REQUEST_KEYS
-    }
+    parts = {name: F.regexp_extract("path", rf"/{name}=([^/]+)/", 1) for name in keys}
     return inventory.select(*[part.alias(name) for name, part in parts.items()]).distinct()

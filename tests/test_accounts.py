@@ -80,3 +80,10 @@ def test_report(spark):
     assert colours == ["green", "red", "orange", "green"]
     empty = report.report_flags(entries.filter("seq > 9"), by=()).first()
     assert tuple(empty) == (False, False)
+
+
+def test_any_status_is_kept(spark):
+    log = spark.createDataFrame([("f", 1, 1001), ("g", 2, None), ("g", 1, 200)], "file string, attempt int, status_code int")
+    rows = {r["file"]: r for r in accounting.attempt_outcomes(log).collect()}
+    assert (rows["f"]["status_code"], rows["f"]["outcome"]) == (1001, "failed")
+    assert (rows["g"]["status_code"], rows["g"]["outcome"]) == (None, "retrying")

@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from barograph.operators import joins, subset
-from barograph.operators.requests import date_ranges, request_grid
+from barograph.operators.requests import date_ranges, request_grid, skip_existing
 from barograph.plans import run_requests
+from barograph.sinks.partitioned import delivered_units
 
 GRID = "variable string, valid_time timestamp_ntz, lat double, lon double, value double"
 BOXES = "region string, north double, west double, south double, east double"
@@ -176,3 +177,23 @@ def test_size_check(spark):
     assert not joins.fits_in_broadcast(spark.range(101), max_rows=100)
     wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("x"))
     assert not joins.fits_in_broadcast(wide, max_bytes=9000)
+
+
+def test_datasets_stay_apart(spark, points, boxes, requested, tmp_path):
+    """A second dataset's run leaves the first one's units alone, and they are skipped next time."""
+    grid, out = spark.createDataFrame(points, GRID), str(tmp_path / "units")
+    one = requested.withColumn("ds_id", F.lit("DS1"))
+    two = requested.withColumn("ds_id", F.lit("DS2"))
+    run_requests(grid, one, out)
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "units").rglob("*.parquet")}
+    run_requests(grid, two, out)
+    assert all(p.stat().st_mtime_ns == t for p, t in before.items())
+    rows = spark.read.parquet(out).select("ds_id", "filename", "value").collect()
+    units = expected_units(points, boxes)
+    assert sorted(map(tuple, rows)) == sorted((d, *u) for d in ("DS1", "DS2") for u in units)
+    inventory = spark.createDataFrame([(str(p),) for p in (tmp_path / "units").rglob("*.parquet")], "path string")
+    units = delivered_units(inventory)
+    left = skip_existing(two.unionByName(one), units, on=tuple(units.columns))
+    there = {(d, name) for d in ("DS1", "DS2") for name, _ in expected_units(points, boxes)}
+    wanted = {(r["ds_id"], r["filename"]) for r in two.unionByName(one).collect()}
+    assert {(r["ds_id"], r["filename"]) for r in left.collect()} == wanted - there

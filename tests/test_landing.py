@@ -232,3 +232,26 @@ def test_scratch_folder():
     assert "barograph-" in scratch_dir(Session(spark_master="local[2]"), "x")
     with pytest.raises(ValueError, match="shared"):
         scratch_dir(Session(spark_master="spark://host"), "x")
+
+
+def test_rows_or_rejects(spark, landing):
+    """Every response either gives rows or is rejected; what follows an array rejects it."""
+    bodies = {
+        "t1": "[{\"Time\": 3}][{\"Time\": 4}]", "t2": "[{\"Time\": 3}] x ]", "t3": "[{\"Time\": 3}, null]",
+        "t4": "[{\"Time\": 3}, {\"Time\": 4}]", "t5": "[{\"Time\": 3}],[{\"Time\": 4}]",
+    }
+    for timecode, body in bodies.items():
+        landing.add(timecode, body)
+    payloads = landed_payloads(spark, str(landing.folder))
+    rows = [(r["timecode"], r["Time"]) for r in parse_payloads(payloads, COLUMNS).collect()]
+    assert sorted(rows) == [("t4", "3"), ("t4", "4")]
+    assert sorted(r["timecode"] for r in payload_rejects(payloads).collect()) == ["t1", "t2", "t3", "t5"]
+
+
+def test_late_error_page_replaces_nothing(spark, landing):
+    landing.add("t1", [RECORD], name="a", age=50)
+    landing.add("t1", "<html>503</html>", name="b", age=10)
+    landing.add("t2", "<html>1</html>", name="a", age=50)
+    landing.add("t2", "<html>2</html>", name="b", age=10)
+    kept = latest_payloads(landed_payloads(spark, str(landing.folder))).collect()
+    assert sorted((r["timecode"], r["landed_file"][-6:]) for r in kept) == [("t1", "a.json"), ("t2", "b.json")]
