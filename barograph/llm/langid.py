@@ -178,6 +178,8 @@ def identify_languages(docs, model):
             if len(rows_at) > MAX_CACHED:
                 rows_at.clear()
             new = list(words.difference(rows_at))
+            if not new:
+                return
             if len(rows_at) + len(new) > len(table):
                 grown = np.zeros((2 * (len(rows_at) + len(new)), table.shape[1]))
                 grown[: len(rows_at)] = table[: len(rows_at)]

@@ -95,7 +95,7 @@ def inclusion(weighed, budget_tokens):
     the budget has left. Their set only grows, so the loop ends.
     """
     full = F.lit(False)
-    ratio = F.col("weight") / F.col("base")
+    ratio = F.try_divide("weight", "base")
     taken, factor = -1, 0.0
     while True:
         now = weighed.agg(

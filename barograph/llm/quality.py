@@ -165,12 +165,18 @@ def learn_quality(docs, labels, max_rows=MAX_ROWS, buckets=BUCKETS):
     marks = np.array([float(r["quality"] > 0) for r in rows], dtype=np.float32)
     if not len(rows) or marks.min() == marks.max():
         return None
-    features = np.stack([np.frombuffer(r["features"], np.float16) for r in rows]).astype(np.float32)
     unseen = np.arange(len(rows)) % 5 == 0
     if len(set(marks[~unseen])) < 2:
         unseen[:] = False
-    weights, bias = fitted(features[~unseen], marks[~unseen])
-    held = unseen if unseen.any() else ~unseen
+    # The texts of the fit come first, so both parts are views of one matrix.
+    order = np.argsort(unseen, kind="stable")
+    features = np.empty((len(rows), buckets), dtype=np.float32)
+    for place, at in enumerate(order):
+        features[place] = np.frombuffer(rows[at]["features"], np.float16)
+    del rows
+    marks, seen = marks[order], int((~unseen).sum())
+    weights, bias = fitted(features[:seen], marks[:seen])
+    held = slice(seen, None) if seen < len(marks) else slice(None)
     a, b = calibrated((features[held] @ weights + bias).astype(float), marks[held].astype(float))
     return {"weights": weights, "bias": bias, "a": a, "b": b, "buckets": buckets}
 
