@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+import checks
 from checks.compare import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = checks.queries(), checks.oracle_sql()
 
 
 @pytest.fixture(scope="module")
