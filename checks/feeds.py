@@ -219,7 +219,7 @@ ATTEMPTS = Feed(
         "attempt": "event_id",
         "status_code": "CASE WHEN k < 40 THEN 200 WHEN k < 50 THEN 404 WHEN k < 55 THEN 503 "
         "WHEN k < 65 THEN 429 WHEN k < 70 THEN 403 WHEN k < 80 THEN 504 WHEN k < 90 THEN 502 "
-        "ELSE 500 END",
+        "WHEN k = 99 THEN 1001 ELSE 500 END",
     },
 )
 
