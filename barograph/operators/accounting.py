@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from barograph import schemas as S
 from barograph.functions import file_extension, has_extension, parent_dir
-from barograph.operators.joins import INVENTORY_SALTS, fits_in_broadcast, lookup_join
+from barograph.operators.joins import UNIQUE_KEYS, fits_in_broadcast, lookup_join
 
 
 def file_counts(files, extension=None, path="path", length="length"):
@@ -77,7 +77,7 @@ def lead_pairs(expected, arrived):
         .agg(F.bool_or(~F.col("_is_index")).alias("_data"), F.bool_or("_is_index").alias("_index"))
     )
     small = fits_in_broadcast(arrived.select("filename"))
-    pairs = lookup_join(expected, files, ["filename"], "left", small, salts=INVENTORY_SALTS)
+    pairs = lookup_join(expected, files, ["filename"], "left", small, salts=UNIQUE_KEYS)
     data = F.coalesce("_data", F.lit(False))
     return pairs.withColumns(
         {"data_ok": data, "index_ok": data & F.coalesce("_index", F.lit(False))}

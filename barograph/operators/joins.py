@@ -7,9 +7,9 @@ MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 32
 
-# Inventories of files can be as long as the requests they are compared with,
-# so beyond a broadcast they are repeated less often than a lookup table.
-INVENTORY_SALTS = 8
+# File names and keys are unique on both sides, so no key can be hot: beyond a
+# broadcast such sides meet in a plain join, and nothing is repeated.
+UNIQUE_KEYS = 1
 
 
 def row_bytes(df):
@@ -52,12 +52,15 @@ def lookup_join(left, right, on, how="inner", small=None, salts=SALTS):
     ``how`` is inner, left, left_semi or left_anti. A right side of proven size
     is broadcast and the left side is not shuffled. Beyond that size the left
     rows are salted and the right ones repeated per salt, so that a key holding
-    a third of all left rows is shared among ``salts`` tasks.
+    a third of all left rows is shared among ``salts`` tasks. With one salt the
+    join is left to Spark, which also splits hot partitions while it runs.
     """
     if small is None:
         small = fits_in_broadcast(right)
     if small:
         return left.join(F.broadcast(right), list(on), how)
+    if salts <= 1:
+        return left.join(right, list(on), how)
     salted = left.withColumn("_salt", _salt(left, salts))
     repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")

@@ -11,7 +11,7 @@ from barograph.functions import (
     output_name,
     sidecar_name,
 )
-from barograph.operators.joins import INVENTORY_SALTS, fits_in_broadcast, lookup_join
+from barograph.operators.joins import UNIQUE_KEYS, fits_in_broadcast, lookup_join
 
 
 def month_starts(start, end):
@@ -116,9 +116,9 @@ def skip_existing(requests, existing, overwrite=False, on=("filename",)):
     names = existing.select(*on)
     small = fits_in_broadcast(names)
     if not overwrite:
-        return lookup_join(requests, names.distinct(), on, "left_anti", small, INVENTORY_SALTS)
+        return lookup_join(requests, names.distinct(), on, "left_anti", small, UNIQUE_KEYS)
     found = names.distinct().withColumn("replaces", F.lit(True))
-    flagged = lookup_join(requests, found, on, "left", small, INVENTORY_SALTS)
+    flagged = lookup_join(requests, found, on, "left", small, UNIQUE_KEYS)
     return flagged.withColumn("replaces", F.coalesce("replaces", F.lit(False)))
 
 

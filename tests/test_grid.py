@@ -71,10 +71,22 @@ def test_region_assign_plans(spark, points, boxes, plan):
     assert "NestedLoop" not in small + large and "Cartesian" not in small + large
 
 
-def test_endless_box_is_refused(spark, points):
-    regions = spark.createDataFrame([("x", float("inf"), 0.0, 0.0, 1.0)], BOXES)
-    with pytest.raises(ValueError, match="degrees"):
-        subset.region_assign(spark.createDataFrame(points[:1], GRID), regions)
+def test_bad_boxes_are_rejected_alone(spark, points, boxes):
+    bad = [("x", float("inf"), 0.0, 0.0, 1.0), ("y", 1.0, None, 0.0, 1.0), ("z", 2e6, 0.0, 0.0, 1.0),
+           ("n", float("nan"), 0.0, 0.0, 1.0)]
+    grid, regions = spark.createDataFrame(points, GRID), spark.createDataFrame(boxes + bad, BOXES)
+    rejected = subset.rejected_regions(regions).collect()
+    assert {(r["region"], r["reject_reason"]) for r in rejected} == {(b[0], "bounds are not degrees") for b in bad}
+    found = subset.region_assign(grid, regions)
+    assert found.count() == sum(inside(point, box) for point in points for box in boxes)
+
+
+def test_large_boxes_make_few_cells(spark):
+    many = spark.range(250_000).selectExpr(
+        "cast(id as string) AS region", "30.0D AS north", "10.0D AS west", "10.0D AS south", "30.0D AS east"
+    )
+    size, small = subset._choose_cells(many, subset.MAX_CELLS)
+    assert not small and (20 / size + 1) ** 2 <= subset.CELLS_PER_BOX
 
 
 def test_month_and_variable(spark, points):
