@@ -4,8 +4,10 @@ from pyspark.sql import functions as F
 
 from barograph.operators import subset
 from barograph.operators.requests import date_ranges, request_grid
-from barograph.plans import run_requests
+from barograph.plans import plan_requests, run_requests
 from barograph.session import scratch_dir
+from barograph.sinks.partitioned import delivered_units
+from barograph.sources import file_inventory
 from checks.feeds import GRID, REGIONS, Checks
 
 CHECKS = Checks()
@@ -89,3 +91,70 @@ def partitioned_write(spark, sf_dir):
         .groupBy("region", "year", "month", "code", "filename")
         .agg(F.count("*").alias("n_points"), F.max("value").alias("top"))
     )
+
+
+# Two datasets that share regions and codes; the second one's boxes lie further north.
+SHIFTS = {"DS1": 0.0, "DS2": 3.0}
+DATASETS = f"(VALUES {', '.join(f'({name!r}, {shift})' for name, shift in SHIFTS.items())}) d(ds_id, shift)"
+DELIVERED = (
+    "(SELECT ds_id, region, strftime(valid_time, '%Y') AS year, strftime(valid_time, '%m') AS month, "
+    f"lower(variable) AS code, value FROM {GRID.sql} p JOIN (SELECT * FROM {REGIONS.sql}, {DATASETS}) r "
+    "ON lat BETWEEN south + shift AND north + shift AND lon BETWEEN west AND east "
+    "WHERE variable IN ('A', 'R') AND valid_time >= TIMESTAMP '1996-01-01 00:00:00' "
+    "AND valid_time < TIMESTAMP '1996-03-01 00:00:00')"
+)
+
+
+def dataset_configs(spark, sf_dir, end_date):
+    """One configuration per region and dataset, from January 1996 on."""
+    shifts = F.array(
+        *[F.struct(F.lit(n).alias("ds_id"), F.lit(s).alias("shift")) for n, s in SHIFTS.items()]
+    )
+    regions = REGIONS.read(spark, sf_dir).select("*", F.inline(shifts))
+    box = F.array(F.expr("north + shift"), "west", F.expr("south + shift"), "east")
+    return regions.select(
+        "ds_id",
+        F.lit("Single_Level").alias("ds_name"),
+        F.lit("all").alias("folder_name"),
+        F.create_map("region", box).alias("bounds"),
+        F.create_map(F.lit("A"), F.lit("a"), F.lit("R"), F.lit("r")).alias("variables"),
+        F.lit("1996-01-01").alias("start_date"),
+        F.lit(end_date).alias("end_date"),
+        F.lit("nc").alias("extension"),
+    )
+
+
+def deliver(spark, sf_dir):
+    """Write the units of both datasets, one run after the other, below one folder."""
+    path = scratch_dir(spark, "datasets")
+    requests = plan_requests(dataset_configs(spark, sf_dir, "1996-02-29"))
+    for name in SHIFTS:
+        run_requests(grid(spark, sf_dir), requests.where(F.col("ds_id") == name), path)
+    return path
+
+
+@CHECKS.add(
+    "datasets_apart",
+    "SELECT ds_id, region, CAST(year AS INT) AS year, CAST(month AS INT) AS month, code, "
+    f"count(*) AS n_points, max(value) AS top FROM {DELIVERED} GROUP BY ALL",
+)
+def datasets_apart(spark, sf_dir):
+    return (
+        spark.read.parquet(deliver(spark, sf_dir))
+        .groupBy("ds_id", "region", "year", "month", "code")
+        .agg(F.count("*").alias("n_points"), F.max("value").alias("top"))
+    )
+
+
+@CHECKS.add(
+    "skip_delivered",
+    "SELECT ds_id, region, year, month, code FROM (SELECT ds_id, region, strftime(m, '%Y') AS year, "
+    f"strftime(m, '%m') AS month, code FROM {REGIONS.sql}, {DATASETS}, {MONTHS}, "
+    f"(VALUES ('a'), ('r')) v(code)) WHERE (ds_id, region, year, month, code) NOT IN "
+    f"(SELECT (ds_id, region, year, month, code) FROM {DELIVERED})",
+)
+def skip_delivered(spark, sf_dir):
+    files = file_inventory(spark, deliver(spark, sf_dir), "parquet", recursive=True)
+    configs = dataset_configs(spark, sf_dir, "1996-04-30")
+    rest = plan_requests(configs, delivered_units(files), overwrite=False)
+    return rest.select("ds_id", "region", "year", "month", "code")
