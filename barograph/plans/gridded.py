@@ -11,14 +11,15 @@ from barograph.sinks import write_requests
 from barograph.sinks.partitioned import DATASET_KEY, REQUEST_KEYS
 
 
-def plan_requests(configs, existing=None, overwrite=True):
+def plan_requests(configs, existing=None, overwrite=True, tasks=None):
     """Named requests of each configuration, less those already there.
 
     ``existing`` has ``object_key``, or the units that ``delivered_units`` reads
     from a destination. With overwriting on, all requests stay and ``replaces``
-    flags those that exist.
+    flags those that exist. ``tasks`` spreads the regions of few configurations
+    over so many tasks.
     """
-    requests = object_keys(request_grid(date_ranges(configs)))
+    requests = object_keys(request_grid(date_ranges(configs), tasks=tasks))
     if existing is None:
         return requests.withColumn("replaces", F.lit(False)) if overwrite else requests
     units = [name for name in (DATASET_KEY, *REQUEST_KEYS) if name in existing.columns]
