@@ -120,6 +120,22 @@ def test_language_backoff(spark, odd, keep):
     assert {r["lang_pred"] for r in langid.identify_languages(odd, none).collect()} == {"und"}
 
 
+def test_languages_do_not_depend_on_what_is_shared(spark, keep):
+    english = [("en", f"the cat sat on the mat with house{chr(97 + i % 26)}") for i in range(400)]
+    rows = english + [("ga", "madra beag cúramach"), ("de", "grüße vom schloss")]
+    docs = [(0, "madra beag"), (1, "cúramachta"), (2, "schlossgrüße"), (3, "the house"), (4, "12"), (5, "madra the beag madra")]
+    training = spark.createDataFrame(rows, "lang string, text string")
+    docs = spark.createDataFrame([*docs, docs[0]], "doc_id bigint, text string")
+    found = {}
+    for share in (0.0, 0.01, 2.0):
+        model = langid.learn_languages(training, share, keep)
+        found[share] = sorted((r["doc_id"], r["lang_pred"], r["score"]) for r in langid.identify_languages(docs, model).collect())
+    assert [lang for _, lang, _ in found[0.0]] == ["ga", "ga", "ga", "de", "en", "und", "ga"]
+    for share in (0.01, 2.0):
+        assert [f[:2] for f in found[share]] == [f[:2] for f in found[0.0]]
+        assert np.allclose([f[2] for f in found[share]], [f[2] for f in found[0.0]], atol=1e-6)
+
+
 def test_odd_rows(spark, odd, marks, keep):
     empty = odd.limit(0)
     for docs in (odd, empty):
