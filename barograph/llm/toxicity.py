@@ -8,9 +8,9 @@ text. A segment's score becomes a number of expected chance segments by
 extreme-value statistics of the scores; significant segments add up, and a
 logistic curve fitted on the training texts turns the sum into a probability.
 
-Counts cover all training texts. The model holds words with at least
-``least_share`` of all occurrences, so its size is bounded by
-``1 / least_share`` whatever the corpus, and only those whose score is not zero.
+Counts cover all training texts. The model holds every word whose score the
+standard error leaves above ``LEAST_SCORE``, however rare it is: 16 bytes a
+word, as sorted 64-bit hashes and their scores.
 
 Defined results: null and empty texts have no segment and get the probability
 of a text without evidence. Null labels teach nothing; without both classes
@@ -22,12 +22,14 @@ import math
 from collections import Counter
 
 import numpy as np
+import xxhash
 from pyspark.sql import functions as F
 
 from barograph.llm.common import over_batches, rows_of
 from barograph.llm.quality import calibrated
 
-LEAST_SHARE = 2e-6
+LEAST_SCORE = 0.05
+MAX_CACHED = 200_000
 PRIOR = 0.1
 DRIFT = 0.25
 SIGNIFICANT = 1.0
@@ -66,8 +68,39 @@ def presence_counts(training):
     )
 
 
-def token_scores(counts, least_share=LEAST_SHARE, prior=PRIOR):
-    """``{token: score}``, and the chance of each score in texts that are not toxic."""
+class Scores:
+    """Scores of words, found by the sorted 64-bit hashes of the words."""
+
+    def __init__(self, hashes, scores):
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.scores = hashes[order], scores[order]
+        self.cache = {}
+
+    def __getstate__(self):
+        return self.__dict__ | {"cache": {}}
+
+    def of(self, tokens):
+        """``{token: score}`` of those that have one."""
+        if len(self.cache) > MAX_CACHED:
+            self.cache.clear()
+        new = [t for t in set(tokens) if t not in self.cache]
+        if new and len(self.hashes):
+            asked = np.array([hashed(t) for t in new], dtype=np.int64)
+            at = np.minimum(np.searchsorted(self.hashes, asked), len(self.hashes) - 1)
+            hit = self.hashes[at] == asked
+            found = zip(new, hit.tolist(), self.scores[at].tolist())
+            self.cache.update((t, score if known else None) for t, known, score in found)
+        return self.cache
+
+
+def hashed(token):
+    """The signed 64-bit hash of a word, as Spark keeps it."""
+    value = xxhash.xxh3_64_intdigest(token)
+    return value - 2**64 if value >= 2**63 else value
+
+
+def token_scores(counts, prior=PRIOR):
+    """The scores, and the chance of each score in texts that are not toxic."""
     totals = counts.agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).first()
     if not totals["toxic"] or not totals["other"]:
         return None
@@ -78,19 +111,24 @@ def token_scores(counts, least_share=LEAST_SHARE, prior=PRIOR):
     delta = odds(F.col("toxic"), n1) - odds(F.col("other"), n0)
     error = F.sqrt(1 / (F.col("toxic") + a) + 1 / (F.col("other") + a))
     scored = (
-        counts.where(F.col("toxic") + F.col("other") >= F.lit(least_share * (n1 + n0)))
-        .withColumn("score", F.signum(delta) * F.greatest(F.abs(delta) - error, F.lit(0.0)))
+        counts.withColumn("score", F.signum(delta) * F.greatest(F.abs(delta) - error, F.lit(0.0)))
         .withColumn("chance", (F.col("other") + a) / F.lit(n0 + strength))
-        .where("abs(score) > 0.05")
+        .where(F.abs("score") > LEAST_SCORE)
     )
-    rows = rows_of(scored.select("token", "score", "chance"))
-    return {r["token"]: r["score"] for r in rows}, [(r["score"], r["chance"]) for r in rows]
+
+    def make():
+        return lambda rows: rows | {"hash": [hashed(t) for t in rows["token"]]}
+
+    schema = "hash bigint, score double, chance double"
+    found = over_batches(scored, schema, make, ["token", "score", "chance"]).toArrow()
+    hashes, score, chance = (found.column(n).to_numpy() for n in ("hash", "score", "chance"))
+    return Scores(hashes, score), (score, chance)
 
 
 def decay(chances, drift=DRIFT):
     """The positive root of E[exp(x * score)] = 1, which scales scores to chance."""
-    scores = np.array([s for s, _ in chances] + [0.0]) - drift
-    weights = np.array([c for _, c in chances])
+    scores, weights = chances
+    scores = np.append(scores, 0.0) - drift
     weights = np.append(weights, max(1e-9, 1 - weights.sum()))
     low, high = 1e-6, 1e-6
     excess = lambda x: float((weights * np.exp(np.clip(x * scores, -700, 60))).sum()) - 1
@@ -135,7 +173,8 @@ class Detector:
 
     def passages(self, text):
         """``(start, end, weight)`` of significant passages, in words of the text."""
-        known, tokens = self.scores, tokens_of(text)
+        tokens = tokens_of(text)
+        known = self.scores.of(tokens)
         steps, last, previous = [], -1, None
         for at, token in enumerate(tokens):
             score = known.get(token)

@@ -136,6 +136,17 @@ def test_languages_do_not_depend_on_what_is_shared(spark, keep):
         assert np.allclose([f[2] for f in found[share]], [f[2] for f in found[0.0]], atol=1e-6)
 
 
+def test_rare_toxic_words_count(spark):
+    counts = [(b"slur", 40, 0), (b"mild", 2, 48), (b"once", 1, 0)]
+    counts += [(b"w%d" % i, 40_000, 960_000) for i in range(40)]
+    counts = spark.createDataFrame(counts, "token binary, toxic bigint, other bigint")
+    scores, chances = toxicity.token_scores(counts)
+    known = scores.of([b"slur", b"mild", b"once", b"absent"])
+    assert known[b"slur"] > 1 and known[b"once"] is None and known[b"mild"] is None and known[b"absent"] is None
+    passages, _ = toxicity.Detector(scores, toxicity.decay(chances)).passages("you slur and slur you slur")
+    assert passages
+
+
 def test_odd_rows(spark, odd, marks, keep):
     empty = odd.limit(0)
     for docs in (odd, empty):
