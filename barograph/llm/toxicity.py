@@ -175,19 +175,20 @@ class Detector:
         """``(start, end, weight)`` of significant passages, in words of the text."""
         tokens = tokens_of(text)
         known = self.scores.of(tokens)
-        steps, last, previous = [], -1, None
-        for at, token in enumerate(tokens):
-            score = known.get(token)
-            # A word said over and over is one sign, not many independent ones.
-            repeated, previous = token == previous, token
-            if score is not None and not repeated:
+        # A word said over and over is one sign, not many independent ones: it is one place.
+        starts = [i for i, token in enumerate(tokens) if i == 0 or token != tokens[i - 1]]
+        ends = [*starts, len(tokens)]
+        steps, last = [], -1
+        for at, start in enumerate(starts):
+            score = known.get(tokens[start])
+            if score is not None:
                 # The words between two scored ones only drift down: one step for all.
                 if at - last > 1:
                     steps.append((at - 1, -DRIFT * (at - last - 1)))
                 steps.append((at, score - DRIFT))
                 last = at
-        log_size = math.log(max(1, len(tokens)))
-        found = [(s, e, self.scale * w - log_size) for s, e, w in segments(steps)]
+        log_size = math.log(max(1, len(starts)))
+        found = [(starts[s], ends[e], self.scale * w - log_size) for s, e, w in segments(steps)]
         return [(s, e, w) for s, e, w in found if w > SIGNIFICANT], len(tokens)
 
     def evidence(self, text):

@@ -147,6 +147,16 @@ def test_rare_toxic_words_count(spark):
     assert passages
 
 
+def test_repeating_an_insult_takes_nothing_from_it():
+    scores = toxicity.Scores(np.array([toxicity.hashed(b"slur")]), np.array([4.0]))
+    detector = toxicity.Detector(scores, 1.0)
+    once, n = detector.passages("oh you slur")
+    often, long = detector.passages("oh you" + " slur" * 500 + " you")
+    assert n == 3 and long == 503 and [(s, e) for s, e, _ in once + often] == [(2, 3), (2, 502)]
+    assert detector.passages("slur " * 500)[0][0][2] == detector.passages("slur")[0][0][2] > 1
+    assert often[0][2] == pytest.approx(once[0][2] - np.log(4 / 3))
+
+
 def test_odd_rows(spark, odd, marks, keep):
     empty = odd.limit(0)
     for docs in (odd, empty):
