@@ -86,7 +86,7 @@ def indexed(rows, pivots, longest, prefix):
     return over_batches(rows, "id bigint, v binary, orders binary, asks binary", make)
 
 
-def search_block(ids, vectors, orders, query_ids, queries, asks, pivots, top, share, walked):
+def search_block(ids, vectors, orders, query_ids, queries, asks, pivots, top, share, least, walked):
     """``(query, ids, scores)`` of the best entries of one block for each query."""
     kind = np.dtype((np.void, vectors.shape[1] * 8))
     order = np.argsort(ids, kind="stable")
@@ -100,7 +100,7 @@ def search_block(ids, vectors, orders, query_ids, queries, asks, pivots, top, sh
     files = np.full((pivots, size), 2 * prefix, dtype=np.int16)
     for place in range(prefix):
         files[orders[first, place], np.arange(size)] = 2 * place
-    wanted = min(size, max(LEAST_CANDIDATES, int(share * size)))
+    wanted = min(size, max(least, int(share * size)))
     distance, part = np.empty(size, np.int16), np.empty(size, np.int16)
     copies = vectors[first]
     for number, query in enumerate(query_ids):
@@ -130,7 +130,7 @@ def search_block(ids, vectors, orders, query_ids, queries, asks, pivots, top, sh
 
 def nearest(
     vectors, stored, is_query, top=TOP, pivots=PIVOTS, prefix=PREFIX, walked=WALKED, share=SHARE,
-    vector_block=VECTOR_BLOCK, query_block=QUERY_BLOCK, id_col="vec_id", vector_col="embedding",
+    least=LEAST_CANDIDATES, vector_block=VECTOR_BLOCK, query_block=QUERY_BLOCK, id_col="vec_id", vector_col="embedding",
 ):
     """``query_id, rank, vec_id, score``: the ``top`` nearest found of every query.
 
@@ -178,7 +178,7 @@ def nearest(
             found = list(
                 search_block(
                     ids[~asks], v[~asks], places[~asks], ids[asks], v[asks], places[asks],
-                    wide, top, share, walked,
+                    wide, top, share, least, walked,
                 )
             )
         return pa.table(

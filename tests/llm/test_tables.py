@@ -75,6 +75,23 @@ def test_nearest_vectors(spark, keep):
     assert permindex.nearest(vectors.limit(0), keep, F.col("id") % 20 == 0).count() == 0
 
 
+def test_nearest_vectors_by_footrule(spark, keep):
+    numbers = np.random.default_rng(4)
+    centres = numbers.normal(size=(30, 16))
+    points = centres[numbers.integers(0, 30, 900)] + 0.3 * numbers.normal(size=(900, 16))
+    vectors = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(points)], "vec_id bigint, embedding array<double>")
+    hits = {}
+    for walked in (64, 0):
+        found = permindex.nearest(vectors, keep, F.col("id") % 20 == 0, least=100, walked=walked, vector_col="embedding").collect()
+        hits[walked] = 0
+        for query in range(0, 900, 20):
+            scores = points @ points[query]
+            order = [i for i in sorted(range(900), key=lambda i: (-scores[i], i)) if i != query][:20]
+            hits[walked] += len({r["vec_id"] for r in found if r["query_id"] == query} & set(order))
+    # Without a step of the orders all entries are equally far, and every one is ranked again.
+    assert hits[0] == 20 * 45 and 0.8 * 20 * 45 <= hits[64] < 20 * 45
+
+
 def test_mixing_meets_its_targets(spark, odd, keep):
     pick = random.Random(1)
     rows = [(i, pick.choice("aaab"), pick.choice(["en", "de"]), "w " * pick.randrange(1, 60)) for i in range(3000)]
