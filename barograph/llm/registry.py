@@ -3,11 +3,13 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from barograph.llm import bottomk, bpecount, langid, mixing, permindex, pii, quality, siteprior
-from barograph.llm import toxicity, unigram
+from barograph.llm import alignment, bottomk, bpecount, langid, mixing, packing, permindex, pii
+from barograph.llm import quality, siteprior, toxicity, unigram
 from barograph.llm.common import remainder, stored, table
 
 VOCABULARY = "piece_bpe_32k.model"
+WORD_VOCABULARY = "word_bpe_49k.json"
+BYTE_VOCABULARY = "byte_bpe_50k.json"
 
 
 def op1_language(spark, sf_dir):
@@ -92,11 +94,23 @@ def op10_unigram(spark, sf_dir):
     return unigram.encode_texts(docs, public_tokenizers.path(VOCABULARY))
 
 
+def op11_packing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack_documents(docs, public_tokenizers.path(WORD_VOCABULARY), stored)
+
+
+def op13_alignment(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    a_path = public_tokenizers.path(BYTE_VOCABULARY)
+    return alignment.align_tokenizers(docs, a_path, public_tokenizers.path(VOCABULARY), stored)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_language, op2_site_quality, op3_permutation_search, op4_toxicity, op5_token_counts,
-        op6_pii, op7_quality_rules, op8_near_duplicates, op9_mixing, op10_unigram,
+        op6_pii, op7_quality_rules, op8_near_duplicates, op9_mixing, op10_unigram, op11_packing,
+        op13_alignment,
     )
 }
 
