@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from barograph.llm import alignment, bottomk, bpecount, langid, mixing, packing, permindex, pii
-from barograph.llm import quality, siteprior, toxicity, unigram
+from barograph.llm import prefixtrie, quality, siteprior, toxicity, unigram
 from barograph.llm.common import remainder, stored, table
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -99,6 +99,11 @@ def op11_packing(spark, sf_dir):
     return packing.pack_documents(docs, public_tokenizers.path(WORD_VOCABULARY), stored)
 
 
+def op12_prefix_trie(spark, sf_dir):
+    turns = prefixtrie.ordered_turns(table(spark, sf_dir, "conversations"), stored)
+    return prefixtrie.prefix_trie(prefixtrie.with_shared_openings(turns, stored), stored)
+
+
 def op13_alignment(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     a_path = public_tokenizers.path(BYTE_VOCABULARY)
@@ -110,7 +115,7 @@ QUERIES = {
     for f in (
         op1_language, op2_site_quality, op3_permutation_search, op4_toxicity, op5_token_counts,
         op6_pii, op7_quality_rules, op8_near_duplicates, op9_mixing, op10_unigram, op11_packing,
-        op13_alignment,
+        op12_prefix_trie, op13_alignment,
     )
 }
 
