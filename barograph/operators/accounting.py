@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from barograph import schemas as S
 from barograph.functions import file_extension, has_extension, parent_dir
-from barograph.operators.joins import UNIQUE_KEYS, fits_in_broadcast, lookup_join
+from barograph.operators.joins import fits_in_broadcast, lookup_join
 
 
 def file_counts(files, extension=None, path="path", length="length"):
@@ -49,6 +49,30 @@ def prefix_status(prefixes, transfers, by=("prefix",)):
     return tally.withColumn("ok", F.col("failed") == 0)
 
 
+def tally_levels(listed, transfers, levels, names=()):
+    """Tallies and verdicts at every level at once, from the whole down to the last column.
+
+    ``levels`` are the columns from the widest to the narrowest, such as dataset
+    and prefix; ``level`` tells how many of them a row is grouped by. ``listed`` holds
+    what has to come up even without transfers, and the columns ``names``, which a row
+    hands on as the greatest value below it. One grouping serves all levels: rows are
+    combined on the map side, and what is shuffled is a partial count per group.
+    """
+    mark = F.lit(None).cast("boolean").alias("ok")
+    tried = transfers.select(*levels, F.coalesce("ok", F.lit(False)).alias("ok"))
+    both = listed.select(*levels, *names, mark).unionByName(tried, allowMissingColumns=True)
+    tally = both.rollup(*levels).agg(
+        F.grouping_id().alias("_id"),
+        F.count("ok").alias("total"),
+        F.count_if("ok").alias("succeeded"),
+        F.count_if(~F.col("ok")).alias("failed"),
+        *[F.max(name).alias(name) for name in names],
+    )
+    # The grouping id has a bit for each level that was rolled up, the last level's lowest.
+    level = F.lit(len(levels)) - F.bit_count("_id")
+    return tally.withColumns({"level": level.cast("int"), "ok": F.col("failed") == 0}).drop("_id")
+
+
 def run_status(results, by=()):
     """Verdict of a run over its regions: all in order, files in all, latest time.
 
@@ -77,7 +101,7 @@ def lead_pairs(expected, arrived):
         .agg(F.bool_or(~F.col("_is_index")).alias("_data"), F.bool_or("_is_index").alias("_index"))
     )
     small = fits_in_broadcast(arrived.select("filename"))
-    pairs = lookup_join(expected, files, ["filename"], "left", small, salts=UNIQUE_KEYS)
+    pairs = lookup_join(expected, files, ["filename"], "left", small)
     data = F.coalesce("_data", F.lit(False))
     return pairs.withColumns(
         {"data_ok": data, "index_ok": data & F.coalesce("_index", F.lit(False))}
@@ -108,17 +132,18 @@ def pair_completeness(expected, arrived, by=("run",), strict=False):
 def attempt_outcomes(attempts, retries=S.FILE_RETRIES, by=("file",), strict=False):
     """Outcome per file of a log of attempts.
 
-    The last attempt decides: ``ok``; ``failed`` for a status that is not
-    retried; ``exhausted`` when a retried status came back more often than the
-    number of retries allows; otherwise ``retrying``. An attempt without any
-    status, such as a broken connection, is retried.
+    The last attempt decides, and of several with its number the greatest status:
+    ``ok``; ``failed`` for a status that is not retried; ``exhausted`` when a retried
+    status came back more often than the number of retries allows; otherwise
+    ``retrying``. An attempt without any status, such as a broken connection, is
+    retried.
     """
-    last = F.max(F.struct("attempt", F.col("status_code").cast("int").alias("status_code")))
-    files = (
-        attempts.groupBy(*by)
-        .agg(F.count("*").alias("attempts"), last.alias("_last"))
-        .withColumn("status_code", F.col("_last.status_code"))
-        .drop("_last")
+    status = F.col("status_code").cast("int")
+    # A decimal orders by attempt, then status, and a hash aggregate can keep it.
+    number = F.col("attempt").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(11,0)")
+    order = number + F.coalesce(status, F.lit(-(1 << 31)))
+    files = attempts.groupBy(*by).agg(
+        F.count("*").alias("attempts"), F.max_by(status, order).alias("status_code")
     )
     retried = F.coalesce(F.col("status_code").isin(*S.RETRYABLE_STATUSES), F.lit(True))
     outcome = (

@@ -1,15 +1,10 @@
-"""Joins that hold up when the other side is large or one key is hot."""
+"""Joins of a large table with a lookup table, broadcast only where its size is proven."""
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
-
-# File names and keys are unique on both sides, so no key can be hot: beyond a
-# broadcast such sides meet in a plain join, and nothing is repeated.
-UNIQUE_KEYS = 1
 
 
 def row_bytes(df):
@@ -36,31 +31,15 @@ def fits_in_broadcast(df, max_rows=MAX_BROADCAST_ROWS, max_bytes=MAX_BROADCAST_B
     return size["rows"] <= max_rows and (size["bytes"] or 0) <= max_bytes
 
 
-def _salt(df, salts):
-    """A salt that is the same when a lost task is run again.
-
-    It hashes the row, and adds the number of the task so that copies of one
-    row spread too.
-    """
-    hashable = [f.name for f in df.schema.fields if '"type":"map"' not in f.dataType.json()]
-    return F.pmod(F.xxhash64(*hashable) + F.spark_partition_id(), F.lit(salts)).cast("int")
-
-
-def lookup_join(left, right, on, how="inner", small=None, salts=SALTS):
+def lookup_join(left, right, on, how="inner", small=None):
     """Join a large table with a lookup table on equal keys.
 
     ``how`` is inner, left, left_semi or left_anti. A right side of proven size
-    is broadcast and the left side is not shuffled. Beyond that size the left
-    rows are salted and the right ones repeated per salt, so that a key holding
-    a third of all left rows is shared among ``salts`` tasks. With one salt the
-    join is left to Spark, which also splits hot partitions while it runs.
+    is broadcast and the left side is not shuffled; ``small`` passes on the
+    answer of a check already made. Beyond that size both sides are shuffled, and
+    adaptive execution splits the left side's hot partitions while the join runs
+    (see ``session.SETTINGS``): all four kinds of join allow that.
     """
     if small is None:
         small = fits_in_broadcast(right)
-    if small:
-        return left.join(F.broadcast(right), list(on), how)
-    if salts <= 1:
-        return left.join(right, list(on), how)
-    salted = left.withColumn("_salt", _salt(left, salts))
-    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    return left.join(F.broadcast(right) if small else right, list(on), how)

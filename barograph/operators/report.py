@@ -1,8 +1,12 @@
 """Rows and texts of a status report."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barograph import schemas as S
+from barograph.operators.numbering import number_rows
 
 # Subject marks, in the order they are put in front.
 CRITICAL_MARK = "CRITICAL ERROR!! - "
@@ -24,6 +28,17 @@ SOME_FAILED = (
 )
 
 
+def entries_in_order(tables, *order):
+    """Report entries of several tables, one table after the other, numbered by ``seq``.
+
+    Within a table ``order`` decides. Numbers are given out part by part, so that
+    the entries never meet in one task.
+    """
+    marked = [table.withColumn("_table", F.lit(i)) for i, table in enumerate(tables)]
+    every = reduce(DataFrame.unionByName, marked)
+    return number_rows(every, "_table", *order, name="seq").drop("_table")
+
+
 def report_rows(entries):
     """Report entries with the colour of their status; ``seq`` keeps their order."""
     colour = F.create_map(*[F.lit(x) for pair in S.STATUS_COLOURS.items() for x in pair])

@@ -11,7 +11,10 @@ from barograph.functions import (
     output_name,
     sidecar_name,
 )
-from barograph.operators.joins import UNIQUE_KEYS, fits_in_broadcast, lookup_join
+from barograph.operators.joins import fits_in_broadcast, lookup_join
+
+# Numbers that a task unfolds from one range of a configuration's requests.
+REQUESTS_AT_ONCE = 4096
 
 
 def month_starts(start, end):
@@ -70,19 +73,52 @@ def request_grid(configs, extension="extension", tasks=None):
 
     A configuration row holds ``bounds`` (region -> [N, W, S, E]),
     ``variables`` (name -> code), ``start_date``, ``end_date`` and an
-    extension. The three dimensions are unfolded from the row itself, one after
-    the other, so no tables are multiplied with each other. ``tasks`` spreads
-    the regions over that many tasks before their months unfold, for a
-    configuration with very many of them.
+    extension. Its requests are numbered from 0 on: the variable is the last digit
+    of a number, the month the one before, the region the first. Equal ranges of
+    numbers are dealt to ``tasks`` tasks, by default as many as a shuffle has
+    partitions, and each number is split into its digits there. So one
+    configuration with millions of requests is as evenly spread as many small ones.
     """
-    regions = configs.select("*", F.explode("bounds").alias("region", "_box")).drop("bounds")
-    boxes = regions.withColumns(
-        {name: F.element_at("_box", i + 1) for i, name in enumerate(["north", "west", "south", "east"])}
-    ).drop("_box")
-    if tasks is not None:
-        boxes = boxes.repartition(tasks, "region")
-    months = expand_months(boxes).drop("start_date", "end_date")
-    grid = months.select("*", F.explode("variables").alias("variable", "code")).drop("variables")
+    spark = configs.sparkSession
+    if tasks is None:
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    first, last = (F.col(name).cast("date") for name in ("start_date", "end_date"))
+    span = (F.year(last) - F.year(first)) * 12 + F.month(last) - F.month(first) + 1
+    months = F.when(first <= last, span).otherwise(0).cast("bigint")
+
+    def size(name):
+        return F.coalesce(F.size(F.map_keys(name)), F.lit(0)).cast("bigint")
+
+    sized = configs.withColumns(
+        {"_regions": size("bounds"), "_months": months, "_variables": size("variables")}
+    )
+    total = F.col("_regions") * F.col("_months") * F.col("_variables")
+    sized = sized.withColumn("_requests", total).filter("_requests > 0")
+    ranges = sized.withColumn(
+        "_start", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_requests") - 1, F.lit(REQUESTS_AT_ONCE)))
+    ).repartition(tasks)
+    listed = ranges.withColumns(
+        {
+            "_names": F.map_keys("bounds"), "_boxes": F.map_values("bounds"), "_first": F.trunc(first, "MM"),
+            "_long": F.map_keys("variables"), "_short": F.map_values("variables"),
+        }
+    ).drop("bounds", "variables", "start_date", "end_date")
+    stop = F.least(F.col("_start") + REQUESTS_AT_ONCE, F.col("_requests")) - 1
+    numbered = listed.withColumn("_number", F.explode(F.sequence(F.col("_start"), stop)))
+    variable = (F.col("_number") % F.col("_variables")).cast("int")
+    month = F.expr("CAST(_number div _variables % _months AS INT)")
+    region = F.expr("CAST(_number div (_variables * _months) AS INT)")
+    box, start = F.get("_boxes", region), F.add_months("_first", month)
+    kept = [name for name in configs.columns if name not in ("bounds", "variables", "start_date", "end_date")]
+    grid = numbered.select(
+        *kept,
+        F.get("_names", region).alias("region"),
+        *[F.element_at(box, i + 1).alias(name) for i, name in enumerate(["north", "west", "south", "east"])],
+        F.date_format(start, "yyyy").alias("year"),
+        F.date_format(start, "MM").alias("month"),
+        F.get("_long", variable).alias("variable"),
+        F.get("_short", variable).alias("code"),
+    )
     return grid.withColumn("filename", output_name("region", "year", "month", "code", extension))
 
 
@@ -90,17 +126,29 @@ def variable_code(df, variables, strict=False):
     """Add the short code of each row's variable.
 
     Without a table of codes the name itself serves. An unknown name has a null
-    code; strict fails on it.
+    code, and a name with several codes goes by its own name; strict fails on both.
+    ``ambiguous_codes`` lists the latter.
     """
     if variables is None:
         return df.withColumn("code", F.col("variable"))
-    codes = variables.groupBy("variable").agg(F.max("code").alias("code"))
+    codes = variables.groupBy("variable").agg(
+        F.min("code").alias("code"), (F.min("code") < F.max("code")).alias("_several")
+    )
     found = lookup_join(df, codes, ["variable"], "left")
+    several, code = F.coalesce("_several", F.lit(False)), F.col("code")
     if strict:
-        message = F.concat(F.lit("no code for variable "), F.col("variable"))
-        code = F.when(F.col("code").isNull(), F.raise_error(message)).otherwise(F.col("code"))
-        found = found.withColumn("code", code)
-    return found
+        none = F.raise_error(F.concat(F.lit("no code for variable "), F.col("variable")))
+        many = F.raise_error(F.concat(F.lit("several codes for variable "), F.col("variable")))
+        code = F.when(several, many).when(code.isNull(), none).otherwise(code)
+    else:
+        code = F.when(several, F.col("variable")).otherwise(code)
+    return found.withColumn("code", code).drop("_several")
+
+
+def ambiguous_codes(variables):
+    """Variables that a table of codes gives several codes, with those in order."""
+    codes = variables.groupBy("variable").agg(F.array_sort(F.collect_set("code")).alias("codes"))
+    return codes.filter(F.size("codes") > 1)
 
 
 def object_keys(requests):
@@ -111,14 +159,20 @@ def object_keys(requests):
     )
 
 
-def skip_existing(requests, existing, overwrite=False, on=("filename",)):
-    """Leave out requests whose file exists, or flag them when overwriting."""
+def skip_existing(requests, existing, overwrite=False, on=("filename",), small=None):
+    """Leave out requests whose file exists, or flag them when overwriting.
+
+    ``small`` tells whether ``existing`` fits in a broadcast, which else costs a
+    count of it. A ledger bucketed by its key (``sinks.write_ledger``) is known to be
+    large: with ``small=False`` only the requests are shuffled, to its buckets.
+    """
     names = existing.select(*on)
-    small = fits_in_broadcast(names)
+    if small is None:
+        small = fits_in_broadcast(names)
     if not overwrite:
-        return lookup_join(requests, names.distinct(), on, "left_anti", small, UNIQUE_KEYS)
+        return lookup_join(requests, names.distinct(), on, "left_anti", small)
     found = names.distinct().withColumn("replaces", F.lit(True))
-    flagged = lookup_join(requests, found, on, "left", small, UNIQUE_KEYS)
+    flagged = lookup_join(requests, found, on, "left", small)
     return flagged.withColumn("replaces", F.coalesce("replaces", F.lit(False)))
 
 

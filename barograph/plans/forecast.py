@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from barograph import schemas as S
+from barograph.operators.accounting import pair_completeness
 from barograph.operators.availability import latest_published, listing_dates
 from barograph.operators.requests import forecast_files, lead_times, supported_requests
 from barograph.sources import listing_links
@@ -41,3 +42,14 @@ def plan_forecast(
         wanted.alias("leads"),
     )
     return forecast_files(lead_times(supported_requests(requests, strict)))
+
+
+def forecast_verdict(files, arrived, strict=False):
+    """Whether each source's run is complete: every planned file and its index arrived.
+
+    ``files`` is the plan, ``arrived`` has the name of every file that is there,
+    as ``base`` and ``filename``. Strict fails on a run that is not complete.
+    """
+    runs = files.withColumn("filename", F.concat_ws("/", "base", "filename"))
+    there = arrived.select(F.concat_ws("/", "base", "filename").alias("filename"))
+    return pair_completeness(runs, there, by=("base", "run_date"), strict=strict)

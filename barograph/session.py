@@ -1,6 +1,5 @@
 """Session settings that suit these jobs, and where they may keep tables."""
 
-import tempfile
 import uuid
 
 # Adaptive execution sizes shuffles and splits hot partitions. The code limit
@@ -18,12 +17,10 @@ def scratch_dir(spark, label):
     """A fresh folder path for one intermediate or checkpoint table.
 
     The folder lies in the shared location the cluster names in
-    ``spark.checkpoint.dir``. Only a local session that names none falls back
-    to a temporary folder, as executors elsewhere could not read it.
+    ``spark.checkpoint.dir``. Where none is named it lies in the warehouse, which
+    Spark itself needs the driver and every executor to reach.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="barograph-")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/barograph-scratch"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 
 SNAPSHOT_KEYS = ["dataset", "snap_date", "snap_time"]
-DATASET_KEY = "ds_id"
+# What tells the units of a destination apart, where requests name it.
+OUTPUT_KEYS = ["ds_id", "ds_name", "folder_name"]
 REQUEST_KEYS = ["region", "year", "month", "code"]
+EXTENSION_KEY = "extension"
 
 # CSV as other tools expect it: quotes doubled, missing values and empty texts
 # both written as nothing, blanks kept.
@@ -54,21 +56,32 @@ def read_snapshots(spark, path, schema):
 
 
 def unit_keys(columns):
-    """The keys of a request unit: the dataset, where it is named, and the request."""
-    return [name for name in (DATASET_KEY, *REQUEST_KEYS) if name != DATASET_KEY or name in columns]
+    """The keys of a request unit: its dataset, folder and extension, where named, and the request."""
+    every = [*OUTPUT_KEYS, *REQUEST_KEYS, EXTENSION_KEY]
+    return [name for name in every if name in REQUEST_KEYS or name in columns]
 
 
 def write_requests(df, path):
-    """Write request outputs as ``ds_id=/region=/year=/month=/code=`` Parquet files.
+    """Write request outputs as ``ds_id=/ds_name=/folder_name=/region=/...`` Parquet files.
 
-    Datasets keep apart, also where they share a region and a code. Rows that
-    name no dataset are written without that level.
+    Datasets and folders keep apart, also where they share a region and a code.
+    Levels that the rows do not name are left out. Only units with rows are
+    replaced; ``deliver_units`` also empties those that lost all of theirs.
     """
     keys = unit_keys(df.columns)
     _replace_partitions(_gather(df, keys), keys).parquet(path)
 
 
-def delivered_units(inventory, keys=(DATASET_KEY, *REQUEST_KEYS)):
-    """Request units found below a destination, read from their file paths."""
-    parts = {name: F.regexp_extract("path", rf"/{name}=([^/]+)/", 1) for name in keys}
-    return inventory.select(*[part.alias(name) for name, part in parts.items()]).distinct()
+def unit_parts(path, keys):
+    """The unit keys in a file's path, as they were before Spark escaped them for it."""
+    parts = {name: F.regexp_extract(path, rf"/{name}=([^/]+)/", 1) for name in keys}
+    plain = {name: F.url_decode(F.replace(p, F.lit("+"), F.lit("%2B"))) for name, p in parts.items()}
+    return [part.alias(name) for name, part in plain.items()]
+
+
+def delivered_units(inventory, keys=("ds_id", *REQUEST_KEYS)):
+    """Request units found below a destination, read from their file paths.
+
+    Units without points leave no files; ``delivery_record`` knows of them.
+    """
+    return inventory.select(*unit_parts("path", keys)).filter("region <> ''").distinct()

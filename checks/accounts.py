@@ -55,6 +55,17 @@ def prefix_status(spark, sf_dir):
     return accounting.prefix_status(PREFIXES.read(spark, sf_dir), TRANSFERS.read(spark, sf_dir))
 
 
+@CHECKS.add(
+    "tally_levels",
+    f"SELECT CAST(2 - CAST(grouping(region) AS INT) - CAST(grouping(prefix) AS INT) AS INT) AS level, region, prefix, {TALLY}, "
+    f"count_if(NOT ok) = 0 AS ok FROM {TRANSFERS.sql} GROUP BY ROLLUP (region, prefix)",
+)
+def tally_levels(spark, sf_dir):
+    transfers = TRANSFERS.read(spark, sf_dir)
+    listed = transfers.filter("ok").select("region", "prefix")
+    return accounting.tally_levels(listed, transfers, ["region", "prefix"])
+
+
 RESULTS = (
     f"(SELECT region, prefix, bool_and(ok) AS ok, count(*) AS n_files, max(ts) AS latest "
     f"FROM {TRANSFERS.sql} GROUP BY region, prefix)"
@@ -164,6 +175,24 @@ def report_rows(spark, sf_dir):
     return report.report_rows(ENTRIES.read(spark, sf_dir))
 
 
+COMPLAINTS = Feed(
+    "events", {**ENTRIES.columns, "seq": "event_id"}, "event_type = 'error'"
+)
+CALM = Feed("events", {**ENTRIES.columns, "seq": "event_id"}, "event_type <> 'error'")
+
+
+@CHECKS.add(
+    "entries_in_order",
+    "SELECT job, run_date, component, status, comments, moment, CAST(row_number() OVER (ORDER BY t, moment) AS BIGINT) AS seq FROM "
+    f"(SELECT 0 AS t, * RENAME (seq AS moment) FROM {COMPLAINTS.sql} UNION ALL "
+    f"SELECT 1, * RENAME (seq AS moment) FROM {CALM.sql})",
+)
+def entries_in_order(spark, sf_dir):
+    """Entries of two tables, one after the other, numbered without a window over all."""
+    tables = [feed.read(spark, sf_dir).withColumnRenamed("seq", "moment") for feed in (COMPLAINTS, CALM)]
+    return report.entries_in_order(tables, "moment")
+
+
 FLAGS = (
     "SELECT job, run_date, count_if(status = 'CRITICAL') > 0 AS any_critical, "
     f"count_if(status = 'ERROR') > 0 AS any_error FROM {ENTRIES.sql} GROUP BY job, run_date"

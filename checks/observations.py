@@ -240,15 +240,13 @@ def upper(spark, sf_dir):
     return PLACES.read(spark, sf_dir).select("doc_id", upper_name(F.col("name")).alias("name"))
 
 
-@CHECKS.add(
-    "column_order",
-    f"SELECT {DAY} AS timestamp, \"ID\", \"RAIN\", event_id FROM "
-    f"(SELECT a.*, e.ts FROM {AWS.sql} a JOIN events e USING (event_id))",
-)
+STAMPED = Feed("events", {**AWS.columns, "timestamp": DAY})
+
+
+@CHECKS.add("column_order", f"SELECT timestamp, \"ID\", \"RAIN\", event_id FROM {STAMPED.sql}")
 def order(spark, sf_dir):
-    moments = Feed("events", {"event_id": "event_id", "timestamp": DAY}).read(spark, sf_dir)
-    raw = aws(spark, sf_dir).select("ID", "DATE", "TIME", "RAIN", "event_id")
-    return clean.column_order(raw.join(moments, "event_id"), dropped=("DATE", "TIME"))
+    raw = STAMPED.read(spark, sf_dir).select("ID", "DATE", "TIME", "RAIN", "event_id", "timestamp")
+    return clean.column_order(raw, dropped=("DATE", "TIME"))
 
 
 # --- Whole feeds --------------------------------------------------------------

@@ -4,7 +4,15 @@ from pyspark.sql import functions as F
 
 from barograph.functions import object_key, object_prefix, output_name, sidecar_name
 from barograph.operators import availability, requests
-from barograph.plans import plan_forecast, plan_requests, published_runs
+from barograph.plans import (
+    forecast_verdict,
+    month_to_date_requests,
+    plan_forecast,
+    plan_requests,
+    published_runs,
+)
+from barograph.session import scratch_dir
+from barograph.sinks import write_ledger
 from barograph.sources import listing_links, region_dims, variable_dims
 from checks.feeds import (
     FORECASTS,
@@ -34,8 +42,8 @@ CONFIG = {
     "end_date": "CASE WHEN l_suppkey = 3 THEN 'None' WHEN l_suppkey = 4 THEN '1990-01-31' "
     "ELSE end_date END",
 }
-BOUNDS = {"ka": [19.0, 74.0, 11.0, 79.0], "tn": [14.0, 76.0, 8.0, 81.0]}
-VARIABLES = {"2m_temperature": "2t", "total_precipitation": "tp", "10m_u_component_of_wind": "10u"}
+BOUNDS = {"north_hill": [18.5, 73.5, 11.5, 78.5], "south_bay": [13.5, 76.5, 8.5, 80.5]}
+VARIABLES = {"soil_wetness": "sw", "snow_depth": "sd", "sea_state": "ss"}
 
 CONFIG_SQL = "(SELECT {} FROM ({}))".format(
     ", ".join(f"{sql} AS {name}" for name, sql in CONFIG.items()), SPANS
@@ -210,6 +218,37 @@ def variable_code(spark, sf_dir):
     return requests.variable_code(rows, codes)
 
 
+# Orders name their variable by priority and their code by status, so most variables have several codes.
+PAIRED = Feed(
+    "orders",
+    {
+        "variable": "substr(o_orderpriority, 3)",
+        "code": "CASE WHEN o_orderpriority = '1-URGENT' THEN 'u' ELSE lower(o_orderstatus) END",
+    },
+)
+
+
+@CHECKS.add(
+    "ambiguous_codes",
+    "SELECT variable, array_to_string(list_sort(list(DISTINCT code)), ',') AS codes "
+    f"FROM {PAIRED.sql} GROUP BY variable HAVING count(DISTINCT code) > 1",
+)
+def ambiguous(spark, sf_dir):
+    found = requests.ambiguous_codes(PAIRED.read(spark, sf_dir))
+    return found.select("variable", F.array_join("codes", ",").alias("codes"))
+
+
+@CHECKS.add(
+    "variable_code_ambiguous",
+    "SELECT o_orderkey, variable, CASE WHEN n = 1 THEN code ELSE variable END AS code FROM "
+    f"{REQUESTS.sql} JOIN (SELECT variable, count(DISTINCT code) AS n, min(code) AS code FROM {PAIRED.sql} "
+    "GROUP BY variable) USING (variable)",
+)
+def variable_code_ambiguous(spark, sf_dir):
+    rows = REQUESTS.read(spark, sf_dir).select("o_orderkey", "variable")
+    return requests.variable_code(rows, PAIRED.read(spark, sf_dir))
+
+
 @CHECKS.add(
     "output_name",
     "SELECT o_orderkey, format('{}_{}_{}_{}.nc', upper(region), year, month, variable) AS name "
@@ -255,6 +294,18 @@ def skip_existing(spark, sf_dir):
     )
 
 
+@CHECKS.add(
+    "skip_bucketed",
+    f"SELECT o_orderkey, filename FROM {REQUESTS.sql} WHERE filename NOT IN (SELECT filename FROM {EXISTING.sql})",
+)
+def skip_bucketed(spark, sf_dir):
+    """The same skipping by a ledger in buckets, which the join reads as it lies."""
+    name = f"ledger_{scratch_dir(spark, 'x').rsplit('-', 1)[1]}"
+    write_ledger(EXISTING.read(spark, sf_dir), name, scratch_dir(spark, "ledger"), key="filename", buckets=16)
+    wanted = REQUESTS.read(spark, sf_dir).select("o_orderkey", "filename")
+    return requests.skip_existing(wanted, spark.table(name), on=("filename",), small=False)
+
+
 # --- Availability -----------------------------------------------------------
 
 
@@ -393,3 +444,43 @@ LISTED = (
 def forecast_plan(spark, sf_dir):
     files = plan_forecast(published_runs(LISTINGS.read(spark, sf_dir), NOW))
     return files.select("base", "run_date", "lead", "filename", "url")
+
+
+# Runs whose plan is complete, told by the number in a source's address: every third source misses the
+# last index, every fifth a data file.
+MISSING = {"index": "CAST(regexp_extract(base, '([0-9]+)$', 1) AS INT) % 3 = 0", "data": "CAST(regexp_extract(base, '([0-9]+)$', 1) AS INT) % 5 = 0"}
+
+
+@CHECKS.add(
+    "forecast_verdict",
+    f"SELECT base, run_date, CAST(2 AS BIGINT) AS n_leads, CAST(CASE WHEN {MISSING['data']} THEN 1 ELSE 2 END AS BIGINT) AS n_data, "
+    f"CAST(2 - CASE WHEN {MISSING['data']} THEN 1 ELSE 0 END - CASE WHEN {MISSING['index']} THEN 1 ELSE 0 END AS BIGINT) AS n_index, "
+    f"NOT ({MISSING['data']}) AND NOT ({MISSING['index']}) AS ok FROM "
+    f"(SELECT source AS base, latest AS run_date FROM ({published_sql(LISTED)}) WHERE latest IS NOT NULL)",
+)
+def verdict(spark, sf_dir):
+    files = plan_forecast(published_runs(LISTINGS.read(spark, sf_dir), NOW))
+    lost = F.expr(f"({MISSING['index']}) AND lead = '6h'")
+    data = files.filter(F.expr(f"NOT ({MISSING['data']}) OR lead <> '0h'")).select("base", "filename")
+    index = files.filter(~lost).select("base", F.col("index_filename").alias("filename"))
+    return forecast_verdict(files, data.unionByName(index))
+
+
+TO_DATE = (
+    "(SELECT ds_id, max(latest) AS latest FROM (SELECT concat('DS', user_id % 50) AS ds_id, "
+    f"try_strptime(right(rtrim(list_last(string_split(msg, '.'))), 16), '%Y-%m-%d %H:%M') AS latest FROM {MESSAGES.sql} "
+    "JOIN (SELECT event_id, user_id FROM events) USING (event_id)) GROUP BY ds_id HAVING max(latest) IS NOT NULL)"
+)
+
+
+@CHECKS.add(
+    "month_to_date_requests",
+    "SELECT c.ds_id, upper(region) || '_' || strftime(latest, '%Y_%m') || '_' || code || '.nc' AS filename "
+    f"FROM {CONFIG_SQL} c JOIN {TO_DATE} USING (ds_id), {REGION_SQL}, {VARIABLE_SQL}",
+)
+def to_date(spark, sf_dir):
+    owners = table(spark, sf_dir, "events").select(
+        "event_id", F.concat(F.lit("DS"), (F.col("user_id") % 50).cast("string")).alias("ds_id")
+    )
+    messages = MESSAGES.read(spark, sf_dir).join(owners, "event_id").select("ds_id", "msg")
+    return month_to_date_requests(configs(spark, sf_dir), messages).select("ds_id", "filename")

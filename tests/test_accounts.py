@@ -87,3 +87,34 @@ def test_any_status_is_kept(spark):
     rows = {r["file"]: r for r in accounting.attempt_outcomes(log).collect()}
     assert (rows["f"]["status_code"], rows["f"]["outcome"]) == (1001, "failed")
     assert (rows["g"]["status_code"], rows["g"]["outcome"]) == (None, "retrying")
+
+
+def test_tallies_at_every_level(spark, plan):
+    """Whole, dataset and prefix from one grouping, with what was listed but never tried."""
+    listed = spark.createDataFrame([("d", "d/a", "D"), ("d", "d/b", "D"), ("e", "e/a", "E")], "dataset string, prefix string, label string")
+    transfers = spark.createDataFrame(
+        [("d", "d/a", True), ("d", "d/a", None), ("e", "e/a", True), (None, None, False)], "dataset string, prefix string, ok boolean"
+    )
+    levels = accounting.tally_levels(listed, transfers, ["dataset", "prefix"], ["label"])
+    assert plan(levels).split("== Physical Plan ==")[1].count("Exchange") == 1
+    found = {
+        (r["level"], r["dataset"], r["prefix"]): (r["total"], r["succeeded"], r["failed"], r["label"], r["ok"])
+        for r in levels.collect()
+    }
+    assert found == {
+        (0, None, None): (4, 2, 2, "E", False),
+        (1, "d", None): (2, 1, 1, "D", False), (1, "e", None): (1, 1, 0, "E", True), (1, None, None): (1, 0, 1, None, False),
+        (2, "d", "d/a"): (2, 1, 1, "D", False), (2, "d", "d/b"): (0, 0, 0, "D", True),
+        (2, "e", "e/a"): (1, 1, 0, "E", True), (2, None, None): (1, 0, 1, None, False),
+    }
+
+
+def test_last_attempt_by_hash_aggregate(spark, plan):
+    """Equal attempt numbers are settled by status, whatever the order of rows."""
+    log = [("f", 3, 200), ("f", 3, 500), ("f", 2, 900), ("g", 2**40, None), ("g", 1, 200), ("h", None, 404), ("h", 1, 200)]
+    for rows in (log, log[::-1]):
+        df = spark.createDataFrame(rows, "file string, attempt bigint, status_code int")
+        outcomes = accounting.attempt_outcomes(df)
+        assert {r["file"]: (r["attempts"], r["status_code"]) for r in outcomes.collect()} == {"f": (3, 500), "g": (2, None), "h": (2, 200)}
+    text = plan(outcomes)
+    assert "SortAggregate" not in text and "HashAggregate" in text

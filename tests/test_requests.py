@@ -4,16 +4,23 @@ from datetime import date, datetime, timezone
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from barograph.operators import accounting, availability, requests
-from barograph.plans import plan_forecast, plan_requests, published_runs
+from barograph.operators.numbering import number_rows
+from barograph.operators.report import entries_in_order
+from barograph.plans import (
+    forecast_verdict,
+    month_to_date_requests,
+    plan_forecast,
+    plan_requests,
+    published_runs,
+)
+from barograph.sinks import write_ledger
 from barograph.sources import listing_links
 
-VARIABLES = {
-    "2m_temperature": "2t", "2m_dewpoint_temperature": "2d", "total_precipitation": "tp",
-    "10m_u_component_of_wind": "10u", "10m_v_component_of_wind": "10v",
-}
+VARIABLES = {"soil_wetness": "2t", "snow_depth": "sd", "sea_state": "ss", "cloud_base": "cb", "dust": "du"}
 
 
 @pytest.fixture
@@ -21,7 +28,7 @@ def configs(spark):
     def make(*ranges):
         rows = [
             ("DS0046", "Single_Level", "all_files", "store", "nc",
-             start, end, {"ka": [19.0, 74.0, 11.0, 79.0]}, VARIABLES)
+             start, end, {"ka": [18.5, 73.5, 11.5, 78.5]}, VARIABLES)
             for start, end in ranges
         ]
         return spark.createDataFrame(
@@ -46,7 +53,7 @@ def test_grid(configs):
     assert first["object_key"] == (
         "DS0046-Single_Level/all_files/KA/KA_2023_11_2t.nc"
     )
-    assert [first[n] for n in ("north", "west", "south", "east")] == [19, 74, 11, 79]
+    assert [first[n] for n in ("north", "west", "south", "east")] == [18.5, 73.5, 11.5, 78.5]
 
 
 def test_grid_spread_over_tasks(configs):
@@ -56,6 +63,39 @@ def test_grid_spread_over_tasks(configs):
     assert spread.count() == 20
 
 
+def test_one_large_configuration_is_spread_evenly(spark):
+    """Two million requests of one configuration: every task of a shuffle unfolds its share."""
+    config = spark.range(1).select(
+        F.map_from_entries(F.transform(F.sequence(F.lit(1), F.lit(400)), lambda i: F.struct(
+            F.concat(F.lit("r"), i.cast("string")), F.array(*[F.lit(float(n)) for n in (4, 1, 2, 3)])))).alias("bounds"),
+        F.map_from_entries(F.transform(F.sequence(F.lit(1), F.lit(21)), lambda i: F.struct(
+            F.concat(F.lit("v"), i.cast("string")), F.concat(F.lit("c"), i.cast("string"))))).alias("variables"),
+        F.lit("2000-05-31").cast("date").alias("start_date"), F.lit("2019-04-01").cast("date").alias("end_date"),
+        F.lit("nc").alias("extension"),
+    )
+    grid = requests.request_grid(config)
+    total = 400 * 21 * (12 * 19)
+    tasks = [r["count"] for r in grid.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == total and len(tasks) == 8 and max(tasks) < 1.1 * total / 8
+    assert grid.select("region", "year", "month", "variable").distinct().count() == total
+    edges = grid.agg(F.min(F.concat("year", "month")), F.max(F.concat("year", "month"))).first()
+    assert tuple(edges) == ("200005", "201904")
+    wrong = grid.filter("substr(variable, 2) <> substr(code, 2) OR north <> 4 OR east <> 3 OR west <> 1 OR south <> 2")
+    assert wrong.count() == 0
+
+
+def test_configurations_without_requests(spark):
+    """Empty or missing maps and ranges give no requests and leave others alone."""
+    rows = [
+        ("none", {}, {"v": "c"}, date(2024, 1, 1), date(2024, 1, 2)), ("no codes", {"r": [1.0, 1.0, 1.0, 1.0]}, {}, date(2024, 1, 1), date(2024, 1, 2)),
+        ("null", None, {"v": "c"}, date(2024, 1, 1), date(2024, 1, 2)), ("open", {"r": [1.0, 1.0, 1.0, 1.0]}, {"v": "c"}, None, date(2024, 1, 2)),
+        ("one", {"r": [1.0, 1.0, 1.0, 1.0]}, {"v": "c"}, date(2024, 1, 31), date(2024, 1, 31)),
+    ]
+    schema = "ds_id string, bounds map<string,array<double>>, variables map<string,string>, start_date date, end_date date"
+    grid = requests.request_grid(spark.createDataFrame(rows, schema).withColumn("extension", F.lit("nc")))
+    assert [(r["ds_id"], r["filename"]) for r in grid.collect()] == [("one", "R_2024_01_c.nc")]
+
+
 @pytest.mark.parametrize(
     "start, end",
     [("2024-01-20", "2024-01-10"), ("2024-03-01", "2024-01-10"), ("None", "None"), ("2024-01-01", None)],
@@ -209,3 +249,87 @@ def test_expand_months_from_timestamps(spark):
     )
     found = [(r["year"], r["month"]) for r in requests.expand_months(rows).collect()]
     assert found == [("2023", "12"), ("2024", "01")]
+
+
+def test_ambiguous_codes(spark):
+    """Two codes of one name: strict fails and names it, otherwise the name itself serves."""
+    codes = spark.createDataFrame(
+        [("t", "a"), ("t", "b"), ("u", "c"), ("u", "c"), ("w", None)], "variable string, code string"
+    )
+    rows = spark.createDataFrame([("t",), ("u",), ("w",), ("x",)], "variable string")
+    found = {r["variable"]: r["code"] for r in requests.variable_code(rows, codes).collect()}
+    assert found == {"t": "t", "u": "c", "w": None, "x": None}
+    assert [(r["variable"], r["codes"]) for r in requests.ambiguous_codes(codes).collect()] == [("t", ["a", "b"])]
+    for name, message in (("t", "several codes for variable t"), ("x", "no code for variable x")):
+        with pytest.raises(PySparkException, match=message):
+            requests.variable_code(rows.filter(f"variable = '{name}'"), codes, strict=True).collect()
+    assert requests.variable_code(rows.filter("variable = 'u'"), codes, strict=True).first()["code"] == "c"
+
+
+def test_month_to_date_run(spark, configs):
+    """The newest timestamp a message names sets the range; without one there are no requests."""
+    config = configs(("None", "None"))
+    messages = spark.createDataFrame(
+        [("DS0046", "400 Client Error. Data up to: 2024-02-10 07:00"), ("DS0046", "400 Client Error. Data up to: 2024-03-02 05:00"),
+         ("DS0047", "400 Client Error. Data up to: 2024-05-02 05:00")], "ds_id string, msg string"
+    )
+    planned = month_to_date_requests(config, messages)
+    assert {(r["year"], r["month"]) for r in planned.collect()} == {("2024", "03")} and planned.count() == 5
+    silent = messages.withColumn("msg", F.lit("400 Client Error. Nothing"))
+    assert month_to_date_requests(config, silent).count() == 0
+
+
+def test_forecast_verdict(spark):
+    """A run is complete once every planned file and its index are there, source by source."""
+    runs = spark.createDataFrame(
+        [("https://a", date(2024, 1, 2)), ("https://b", date(2024, 1, 2)), ("https://c", None)], "source string, latest date"
+    )
+    files = plan_forecast(runs)
+    everything = files.select("base", F.explode(F.array("filename", "index_filename")).alias("filename"))
+    arrived = everything.filter("base = 'https://a' OR filename NOT LIKE '%6h%index'")
+    verdict = {r["base"]: (r["n_leads"], r["n_data"], r["n_index"], r["ok"]) for r in forecast_verdict(files, arrived).collect()}
+    assert verdict == {"https://a": (2, 2, 2, True), "https://b": (2, 2, 1, False)}
+    with pytest.raises(PySparkException, match="files missing for run"):
+        forecast_verdict(files, arrived, strict=True).collect()
+
+
+def test_bucketed_ledger_is_not_shuffled(spark, configs, plan):
+    """A day's requests go to the ledger's buckets; the ledger stays where it lies."""
+    config = configs(("2023-11-20", "2024-02-10"))
+    planned = plan_requests(config)
+    spark.sql("DROP TABLE IF EXISTS delivered_test")
+    write_ledger(planned.filter("month <> '02'").select("object_key"), "delivered_test", buckets=8)
+    write_ledger(planned.filter("month = '12'").select("object_key"), "delivered_test", buckets=8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rest = requests.skip_existing(planned, spark.table("delivered_test"), on=("object_key",), small=False)
+        text = plan(rest).split("== Physical Plan ==")[1]
+        assert {r["month"] for r in rest.collect()} == {"02"} and rest.count() == 5
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The join has two branches: the requests are shuffled to the buckets, the ledger is read as it lies.
+    top = text.index("SortMergeJoin")
+    ledger = text.rindex("\n      +- Sort", top)
+    assert "Exchange hashpartitioning(object_key" in text[top:ledger]
+    assert "Exchange" not in text[ledger:] and "Bucketed: true" in text[ledger:]
+    spark.sql("DROP TABLE delivered_test")
+
+
+@pytest.mark.parametrize("tasks", [1, 7])
+def test_numbering_equals_row_number(spark, plan, tasks):
+    rows = spark.range(0, 5000, 1, tasks).select(F.xxhash64("id").alias("h"), (F.col("id") % 7).alias("g"), "id")
+    found = number_rows(rows, "g", "h")
+    expected = rows.select("id", F.row_number().over(Window.orderBy("g", "h")).cast("bigint").alias("seq"))
+    assert found.select("id", "seq").exceptAll(expected).count() == 0 and found.count() == 5000
+    text = plan(found)
+    assert "Window" not in text and "SinglePartition" not in text.split("Subquery")[0]
+    assert number_rows(rows.limit(0), "g").count() == 0
+
+
+def test_entries_of_several_tables_keep_their_order(spark):
+    schema = "job string, component string, at int"
+    first = spark.createDataFrame([("j", f"a{i}", i) for i in range(50)], schema)
+    second = spark.createDataFrame([("j", f"b{i}", -i) for i in range(50)], schema)
+    rows = entries_in_order([first, second], "at").orderBy("seq").collect()
+    assert [r["component"] for r in rows] == [f"a{i}" for i in range(50)] + [f"b{i}" for i in range(49, -1, -1)]
+    assert [r["seq"] for r in rows] == list(range(1, 101))
