@@ -44,30 +44,30 @@ MAX_CACHED = 400_000
 MAX_CACHED_LINKS = 8_000_000
 LONGEST_CACHED = 64
 UNITS = re.compile(r"(?<=\S)(?=[ \n]\S)")
+PLAIN = re.compile(f"[ \n][^\\s{MARK}]+")
+RUN = 4096
 
 
 class Side:
     """Tokens of many units of one tokenizer, end to end: ids, their unit and their coarse ends.
 
-    A coarse end is the byte where the library's offset ends a token, or -1
-    where the offset lies within a character that several tokens share.
+    ``coarse`` is the byte where the library's offset ends a token, or -1 where
+    the offset lies within a character that several tokens share; ``unit`` is the
+    place of each token's unit.
     """
 
-    def __init__(self, ids, sizes, coarse, table, lengths):
-        self.ids = np.array(ids, dtype=np.int64)
-        self.unit = np.repeat(np.arange(len(sizes)), sizes)
+    def __init__(self, ids, unit, coarse, table, lengths):
+        self.ids, self.unit = np.array(ids, dtype=np.int64), unit
         parts = [table[i] for i in ids]
-        data = b"".join(parts)
+        size = len(lengths)
         decoded = np.fromiter(map(len, parts), np.int64, len(parts))
         base = np.cumsum([0, *lengths])
         # Tokens of a unit go on where the units before it end, whatever those decode to.
-        mine = np.bincount(self.unit, weights=decoded, minlength=len(sizes)).astype(np.int64)
+        mine = np.bincount(unit, weights=decoded, minlength=size).astype(np.int64)
         shift = base[:-1] - (np.cumsum(mine) - mine)
-        self.ends = np.cumsum(decoded) + shift[self.unit]
-        agree = np.bincount(
-            self.unit, weights=(coarse >= 0) & (coarse != self.ends), minlength=len(sizes)
-        )
-        self.data, self.stops = data, np.cumsum(mine)
+        self.ends = np.cumsum(decoded) + shift[unit]
+        agree = np.bincount(unit, weights=(coarse >= 0) & (coarse != self.ends), minlength=size)
+        self.data, self.stops = b"".join(parts), np.cumsum(mine)
         self.fits = (mine == np.diff(base)) & (agree == 0)
 
     def decodes_to(self, parts):
@@ -102,62 +102,97 @@ class Aligner:
             self.a_bytes[number] = bytes(codes[c] for c in entry if c in codes)
         every = range(self.b.get_piece_size())
         pieces = [self.b.id_to_piece(i) for i in every]
-        self.is_byte = [self.b.is_byte(i) for i in every]
+        self.is_byte = np.array([self.b.is_byte(i) for i in every])
         self.b_bytes = [
             bytes([int(p[3:5], 16)]) if byte else p.replace(MARK, " ").encode()
             for p, byte in zip(pieces, self.is_byte)
         ]
+        self.b_sizes = np.array([len(p) for p in self.b_bytes], dtype=np.int64)
         self.lone_mark = self.b.piece_to_id(MARK)
         inner = re.compile(f"[^{MARK}]{MARK}|\n")
         self.splits = not any(inner.search(p) for p, byte in zip(pieces, self.is_byte) if not byte)
 
-    def a_side(self, units, lengths):
-        found = self.a.encode_batch(units, add_special_tokens=False)
+    def runs(self, units):
+        """Neighbouring units that are encoded as one text: a sign and what holds no blank.
+
+        Such units may stand one behind the other as they do in a text; others, with
+        blanks within or at their end, are encoded alone.
+        """
+        run, size = [], 0
+        for unit in units:
+            plain = self.splits and PLAIN.fullmatch(unit)
+            if run and (not plain or size > RUN):
+                yield run
+                run, size = [], 0
+            if plain:
+                run.append(unit)
+                size += len(unit)
+            else:
+                yield [unit]
+        if run:
+            yield run
+
+    def a_side(self, runs, lengths):
+        found = self.a.encode_batch(runs, add_special_tokens=False)
         ids = [e.ids for e in found]
         sizes = [len(i) for i in ids]
         # Offsets count characters; a character of U+0080, U+0800, U+10000 on has a byte more.
-        points = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        points = np.frombuffer("".join(runs).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         widths = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
         byte_at = np.concatenate([[0], np.cumsum(widths)])
-        first = np.repeat(np.cumsum([0, *map(len, units)])[:-1], sizes)
+        first = np.repeat(np.cumsum([0, *map(len, runs)])[:-1], sizes)
         spans = [x for e in found for span in e.offsets for x in span]
         starts, ends = np.array(spans, dtype=np.int64).reshape(-1, 2).T + first
         shared = np.zeros(len(ends), dtype=bool)
         shared[:-1] = (starts[1:] < ends[:-1]) & (first[1:] == first[:-1])
         coarse = np.where(shared, -1, byte_at[ends])
-        return Side([i for own in ids for i in own], sizes, coarse, self.a_bytes, lengths)
+        # A token belongs to the unit in which it starts.
+        unit = np.searchsorted(np.cumsum(lengths), byte_at[starts], side="right")
+        return Side([i for own in ids for i in own], unit, coarse, self.a_bytes, lengths)
 
-    def b_side(self, units, lengths):
-        """Tokens of B; the mark that B adds stands for the space in front of a unit.
+    def b_side(self, runs, counts, lengths):
+        """Tokens of B; the mark that B adds stands for the space in front of a run.
 
         Before a line end that mark is a token of its own, as no piece holds a
         line end, and is left out.
         """
-        plain = [unit[1:] if unit[0] == " " else unit for unit in units]
+        plain = [run[1:] if run[0] == " " else run for run in runs]
         protos = self.b.encode(plain, return_type="proto", num_threads=1)
-        ids, sizes, coarse, base, is_byte = [], [], [], 0, self.is_byte
-        for unit, proto, length in zip(units, protos, lengths):
-            pieces, before = proto.pieces, len(ids)
-            if unit[0] == " ":
-                at = base + 1
-            else:
-                at = base
-                if pieces and pieces[0].id == self.lone_mark:
-                    pieces = pieces[1:]
-            for piece in pieces:
-                number = piece.id
-                ids.append(number)
-                coarse.append(-1 if is_byte[number] else at + piece.end)
-            sizes.append(len(ids) - before)
-            base += length
-        return Side(ids, sizes, np.array(coarse, dtype=np.int64), self.b_bytes, lengths)
-
-    def sides(self, units):
-        """Tokens of A and of B, and for which units both decode to the unit's bytes."""
+        stops = np.cumsum(lengths)
+        last = np.cumsum(counts) - 1
+        base = np.concatenate([[0], stops[last]])
+        ids, ends, sizes = [], [], []
+        for run, proto, at in zip(runs, protos, base.tolist()):
+            pieces, led = proto.pieces, run[0] == " "
+            if not led and pieces and pieces[0].id == self.lone_mark:
+                pieces = pieces[1:]
+            ids += [p.id for p in pieces]
+            ends += [p.end for p in pieces]
+            sizes.append((len(pieces), at + led))
+        number = np.array(ids, dtype=np.int64)
+        run_of = np.repeat(np.arange(len(runs)), [n for n, _ in sizes])
+        shift = np.array([at for _, at in sizes], dtype=np.int64)
+        coarse = np.where(self.is_byte[number], -1, np.array(ends, dtype=np.int64) + shift[run_of])
+        # A token belongs to the unit in which the bytes up to it end.
+        decoded = np.cumsum(self.b_sizes[number])
+        before = np.concatenate([[0], decoded])[np.cumsum([0, *(n for n, _ in sizes)])[:-1]]
+        unit = np.searchsorted(stops, decoded - before[run_of] + base[:-1][run_of], side="left")
+        unit = np.clip(unit, (last - np.array(counts) + 1)[run_of], last[run_of])
+        return Side(ids, unit, coarse, self.b_bytes, lengths)
+
+    def sides(self, units, together=True):
+        """Tokens of A and of B, and for which units both decode to the unit's bytes.
+
+        Units that go wrong among others are tried again alone.
+        """
         parts = [unit.encode("utf-8", "replace") for unit in units]
         lengths = [len(p) for p in parts]
-        a, b = self.a_side(units, lengths), self.b_side(units, lengths)
+        groups = list(self.runs(units)) if together else [[unit] for unit in units]
+        runs, counts = ["".join(g) for g in groups], [len(g) for g in groups]
+        a, b = self.a_side(runs, lengths), self.b_side(runs, counts, lengths)
         whole = a.decodes_to(parts) & b.decodes_to(parts)
+        if together and (np.repeat(counts, counts)[~whole] > 1).any():
+            return self.sides(units, together=False)
         a.keep(whole)
         b.keep(whole)
         return a, b, whole, np.cumsum(lengths)
@@ -172,11 +207,30 @@ class Links:
         self.whole = np.zeros(0, dtype=bool)
         self.starts = np.zeros(1, dtype=np.int64)
         self.pairs = np.zeros(0, dtype=np.int64)
+        self.uses = np.zeros(0, dtype=np.int64)
         self.groups = []
 
     def full(self):
         return len(self.whole) > MAX_CACHED or len(self.pairs) > MAX_CACHED_LINKS
 
+    def shrink(self):
+        """Forget the units used least, and of those used alike the latest; a quarter stays."""
+        names = list(self.number.items())
+        places = np.fromiter((at for _, at in names), np.int64, len(names))
+        order = np.argsort(-self.uses[places], kind="stable")[: MAX_CACHED // 4]
+        kept = places[order]
+        size = self.sums[kept, 3]
+        inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        self.pairs = self.pairs[np.repeat(self.starts[kept], size) + inside]
+        if len(self.pairs) > MAX_CACHED_LINKS // 2:
+            self.__init__(self.aligner)
+            return
+        self.number = {names[i][0]: at for at, i in enumerate(order.tolist())}
+        self.starts = np.concatenate([[0], np.cumsum(size)])
+        self.sums, self.whole = self.sums[kept], self.whole[kept]
+        self.groups = [self.groups[at] for at in kept.tolist()]
+        self.uses = np.zeros(len(kept), dtype=np.int64)
+
     def add(self, units):
         """Align new units, all in one go: the end of a unit is an end of both tokenizers."""
         a, b, whole, stops = self.aligner.sides(units)
@@ -199,6 +253,7 @@ class Links:
         self.sums = np.concatenate([self.sums, np.stack(counts, axis=1)])
         self.whole = np.concatenate([self.whole, whole])
         self.pairs = np.concatenate([self.pairs, pairs])
+        self.uses = np.concatenate([self.uses, np.zeros(len(units), dtype=np.int64)])
 
     def documents(self, texts):
         """Sums, digests, and offsets, pairs and occurrences of whole texts."""
@@ -210,6 +265,7 @@ class Links:
         numbers = [[self.number[u] for u in names] for names in units]
         rows = np.repeat(np.arange(len(texts)), [len(n) for n in numbers])
         flat = np.array([k for n in numbers for k in n], dtype=np.int64)
+        self.uses += np.bincount(flat, minlength=len(self.uses))
         spoilt = np.zeros(len(texts), dtype=bool)
         spoilt[rows[~self.whole[flat]]] = True
         keep = ~spoilt[rows]
@@ -270,8 +326,10 @@ MET = {}
 def known_links(a_path, b_path):
     """The units that this worker met lately, of this task or of one before."""
     links = MET.get((a_path, b_path))
-    if links is None or links.full():
+    if links is None:
         links = MET[a_path, b_path] = Links(read_aligner(a_path, b_path))
+    if links.full():
+        links.shrink()
     return links
 
 

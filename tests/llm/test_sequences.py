@@ -313,6 +313,23 @@ def test_alignment(spark, documents, strange, store, share):
     assert [tuple(r[n] for n in ALIGNED) for r in rows] == plain_alignment(texts)
 
 
+def test_units_are_forgotten_and_met_again(monkeypatch, strange):
+    """With room for few units and links, results are those of whole texts all the same."""
+    monkeypatch.setattr(alignment, "MAX_CACHED", 300)
+    links = alignment.Links(alignment.read_aligner(BYTES, PIECES))
+    names = ["n_a", "n_b", "n_groups", "n_links"]
+    for most in (10**6, 200):
+        monkeypatch.setattr(alignment, "MAX_CACHED_LINKS", most)
+        for at in range(0, 1500, 100):
+            texts = strange[at : at + 100]
+            sums, digests, *_ = links.documents(texts)
+            plain = plain_alignment(texts)
+            assert [(*s, d) for s, d in zip(sums.tolist(), digests)] == [(*p[:4], p[4]) for p in plain], names
+            if links.full():
+                links.shrink()
+    assert len(links.whole) <= 300
+
+
 def test_alignment_odd_rows(spark, odd, store):
     found = alignment.align_tokenizers(odd, BYTES, PIECES, store)
     texts = [r["text"] for r in odd.collect()]
