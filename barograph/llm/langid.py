@@ -26,7 +26,9 @@ from pyspark.sql import functions as F
 from barograph.llm import common
 from barograph.llm.common import over_batches, rows_of
 
-LETTERS = re.compile(r"[^\W\d_]+")
+# Word characters are letters, digits and other numbers, such as a square or a half; the last two are no letters.
+OTHER_NUMBERS = "".join(c for c in map(chr, range(0x110000)) if c.isnumeric() and not (c.isalpha() or c.isdecimal()))
+LETTERS = re.compile(rf"[^\W\d_{OTHER_NUMBERS}]+")
 ORDERS = (4, 3, 2, 1)
 LEAST_SHARE = 2e-6
 BACKOFF = 0.7

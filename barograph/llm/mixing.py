@@ -1,19 +1,24 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
-Token counts are summed into cells of source, language and topic. Raking scales
-the cells until their sums meet the target share of every source, language and
-topic. A document is then drawn with the probability its cell needs, capped at
-one, where one common factor meets the token budget. The draw hashes the id, so
-it is the same in every run.
-
-Only DataFrame functions are used. Cells are summed with partial aggregation, so
-a source with a third of all rows is no hot spot; all loops run over cells.
+Token counts are summed into cells of source, language and topic. A cell is drawn
+with the product of one factor per source, language and topic, and with one at
+most. Raking sets the factors of one key after the other, so that the tokens drawn
+of each of its values meet their target. Cells that are taken whole keep what they
+have, and the others are raked again, so the marginals still hold after capping. A
+document is drawn with its cell's probability by a hash of its id, so the draw is the
+same in every run.
+
+Only DataFrame functions are used. Cells are summed with partial aggregation and
+stored once, so a source with a third of all rows is no hot spot. A step joins the
+cells with three tables of factors and stores one of them; plans do not grow with
+the rounds.
 
 Defined results: null keys form the group named by an empty text. Null texts
 have no tokens; a cell without tokens has probability 1, as it costs nothing. A
 null id draws as the text ``null``. A target for a value that does not occur is
-spread over those that do. Rows that repeat are drawn alike. An empty table
-gives an empty result.
+spread over those that do, and so is what a target asks beyond the tokens of its
+value. Rows that repeat are drawn alike. An empty table gives an empty result.
+Extra columns, whatever their names, stay within ``document``.
 """
 
 from pyspark.sql import functions as F
@@ -21,8 +26,10 @@ from pyspark.sql import functions as F
 KEYS = ("source", "lang", "topic")
 TEMPERATURE = 0.5
 BUDGET = 0.5
-ROUNDS = 30
-TOLERANCE = 1e-9
+ROUNDS = 20
+# A step changes a factor by this much at most, which keeps targets that cannot all be met from
+# driving the factors apart.
+MOST_CHANGE = 2.0
 SEED = "mix-1"
 MOST_BROADCAST_CELLS = 100_000
 
@@ -44,72 +51,94 @@ def form_of(text):
 
 
 def tempered(cells, key, temperature=TEMPERATURE):
-    """``key, target``: shares in proportion to a power of the tokens of each value."""
-    sums = cells.groupBy(key).agg(F.pow(F.sum("base").cast("double"), F.lit(temperature)).alias("w"))
-    total = sums.agg(F.sum("w").alias("all")).first()["all"] or 1.0
-    return sums.select(key, (F.col("w") / F.lit(total)).alias("target"))
-
-
-def rake(cells, targets, stored, rounds=ROUNDS, tolerance=TOLERANCE):
-    """Cells with ``weight``, whose sums by every key meet the targets.
-
-    ``targets`` maps a key to a table of the key and its ``target`` share; shares
-    of values that do not occur are spread over the rest.
-    """
-    everything = cells.agg(F.sum("base").alias("all")).first()["all"] or 1
-    goals = {}
-    for key, target in targets.items():
-        there = cells.groupBy(key).agg(F.sum("base").alias("n")).where("n > 0").select(key)
-        goal = there.join(target, key).where("target > 0")
-        share = goal.agg(F.sum("target").alias("all")).first()["all"] or 1.0
-        goals[key] = stored(
-            goal.select(key, (F.col("target") / F.lit(share)).alias("target")), "targets"
-        )
-    weighed = cells.withColumn("weight", F.col("base") / F.lit(float(everything)))
-    for _ in range(rounds):
-        weighed = weighed.withColumn("was", F.col("weight"))
-        for key, goal in goals.items():
-            sums = weighed.groupBy(key).agg(F.sum("weight").alias("now"))
-            factor = sums.join(goal, key, "left").select(
-                key,
-                F.when(F.col("now") > 0, F.coalesce("target", F.lit(0.0)) / F.col("now"))
-                .otherwise(0.0)
-                .alias("factor"),
-            )
-            weighed = weighed.join(factor, key).withColumn(
-                "weight", F.col("weight") * F.col("factor")
-            )
-            weighed = weighed.drop("factor")
-        weighed = stored(weighed, "raked")
-        gap = weighed.agg(F.max(F.abs(F.col("weight") - F.col("was"))).alias("gap")).first()["gap"]
-        weighed = weighed.drop("was")
-        if gap is None or gap < tolerance:
-            break
-    return weighed
+    """``key, target``: weights in proportion to a power of the tokens of each value."""
+    tokens = F.sum("base").cast("double")
+    return cells.groupBy(key).agg(F.pow(tokens, F.lit(temperature)).alias("target"))
 
 
-def inclusion(weighed, budget_tokens):
-    """The probability of a cell: its weight per token, times the factor that meets the budget.
+def goals_of(cells, key, target, budget_tokens, stored):
+    """``key, goal``: the tokens that are to be drawn of each value.
 
-    Cells that would need more than one are taken whole; the rest share what
-    the budget has left. Their set only grows, so the loop ends.
+    Goals are in proportion to the targets. Values whose tokens do not suffice are
+    taken whole and the others share the rest; their set only grows, so the loop ends.
     """
+    there = cells.groupBy(key).agg(F.sum("base").cast("double").alias("all")).where("all > 0")
+    asked = stored(there.join(target.where("target > 0"), key), "targets")
+    scale, taken = 0.0, -1
     full = F.lit(False)
-    ratio = F.try_divide("weight", "base")
-    taken, factor = -1, 0.0
     while True:
-        now = weighed.agg(
+        now = asked.agg(
             F.count(F.when(full, 1)).alias("taken"),
-            F.coalesce(F.sum(F.when(full, F.col("base"))), F.lit(0)).alias("tokens"),
-            F.sum(F.when(~full & (F.col("base") > 0), F.col("weight"))).alias("weight"),
+            F.coalesce(F.sum(F.when(full, F.col("all"))), F.lit(0.0)).alias("tokens"),
+            F.sum(F.when(~full, F.col("target"))).alias("target"),
         ).first()
-        if now["taken"] == taken or not now["weight"]:
+        if now["taken"] == taken or not now["target"]:
             break
         taken = now["taken"]
-        factor = max(0.0, budget_tokens - now["tokens"]) / now["weight"]
-        full = (F.col("base") > 0) & (F.lit(factor) * ratio >= 1)
-    chance = F.when(F.col("base") == 0, 1.0).otherwise(F.least(F.lit(1.0), F.lit(factor) * ratio))
-    return weighed.withColumn("probability", F.round(chance, 6))
+        scale = max(0.0, budget_tokens - now["tokens"]) / now["target"]
+        full = F.lit(scale) * F.col("target") >= F.col("all")
+    goal = F.least(F.col("all"), F.lit(scale) * F.col("target"))
+    return stored(asked.select(key, goal.alias("goal")), "goals")
+
+
+def with_chance(cells, factors):
+    """Cells with ``chance``, the product of their three factors, not yet capped at one."""
+    joined = cells
+    for key in KEYS:
+        joined = joined.join(factors[key].withColumnRenamed("factor", f"f_{key}"), key)
+    chance = F.col(f"f_{KEYS[0]}")
+    for key in KEYS[1:]:
+        chance = chance * F.col(f"f_{key}")
+    return joined.select(*KEYS, "base", chance.alias("chance"))
+
+
+def step(cells, factors, key, goal):
+    """The factors of one key for which its values meet their goals.
+
+    What its whole cells hold is taken as given and the others are scaled to the rest;
+    where whole cells alone hold more than the goal, all are scaled.
+    """
+    whole = F.col("chance") >= 1
+    base = F.col("base").cast("double")
+    sums = (
+        with_chance(cells, factors)
+        .groupBy(key)
+        .agg(
+            F.sum(F.when(whole, base).otherwise(0.0)).alias("whole"),
+            F.sum(F.when(whole, 0.0).otherwise(base * F.col("chance"))).alias("part"),
+        )
+    )
+    rest = F.col("goal") - F.col("whole")
+    change = (
+        F.when((rest > 0) & (F.col("part") > 0), rest / F.col("part"))
+        .when(F.col("whole") + F.col("part") > F.col("goal"), F.col("goal") / (F.col("whole") + F.col("part")))
+        .otherwise(1.0)
+    )
+    bounded = F.least(F.greatest(change, F.lit(1 / MOST_CHANGE)), F.lit(MOST_CHANGE))
+    met = sums.join(goal, key, "left").join(factors[key], key)
+    # A value without tokens, or that no target names, is not to be drawn: its factor fades.
+    return met.select(
+        key, (F.col("factor") * F.coalesce(bounded, F.lit(1 / MOST_CHANGE))).alias("factor")
+    )
+
+
+def rake(cells, goals, budget, stored, rounds=ROUNDS):
+    """Cells with ``probability`` such that the tokens drawn by each key meet its goals.
+
+    ``goals`` maps a key to a table of the key and its ``goal`` in tokens.
+    """
+    factors = {
+        key: stored(
+            cells.groupBy(key).agg(F.lit(budget if key == KEYS[0] else 1.0).alias("factor")), "factors"
+        )
+        for key in KEYS
+    }
+    for _ in range(rounds):
+        for key in KEYS:
+            factors[key] = stored(step(cells, factors, key, goals[key]), "factors")
+    chance = F.when(F.col("base") == 0, 1.0).otherwise(F.least(F.lit(1.0), F.col("chance")))
+    raked = with_chance(cells, factors)
+    return stored(raked.select(*KEYS, "base", F.round(chance, 6).alias("probability")), "raked")
 
 
 def draw(ids, seed=SEED):
@@ -119,23 +148,29 @@ def draw(ids, seed=SEED):
 
 
 def keyed(docs, topic):
-    """Documents with the three keys as ``k_source, k_lang, k_topic`` and ``k_tokens``."""
+    """Each row as ``document``, with its three keys as ``k_source, k_lang, k_topic`` and ``k_tokens``."""
     name = lambda c: F.coalesce(c.cast("string"), F.lit(""))
-    return docs.withColumns(
-        {
-            "k_source": name(docs["source"]),
-            "k_lang": name(docs["lang"]),
-            "k_topic": name(topic),
-            "k_tokens": words_in(docs["text"]),
-        }
+    every = [docs["`" + c.replace("`", "``") + "`"] for c in docs.columns]
+    return docs.select(
+        F.struct(*every).alias("document"),
+        name(docs["source"]).alias("k_source"),
+        name(docs["lang"]).alias("k_lang"),
+        name(topic).alias("k_topic"),
+        words_in(docs["text"]).alias("k_tokens"),
     )
 
 
-def mix(docs, stored, topic=None, targets=None, budget=BUDGET, seed=SEED, temperature=TEMPERATURE):
-    """All rows with ``k_`` keys, ``probability`` and ``kept``.
+def mix(
+    docs, stored, topic=None, targets=None, budget=BUDGET, seed=SEED, temperature=TEMPERATURE,
+    most_broadcast=MOST_BROADCAST_CELLS,
+):
+    """All rows as ``document``, with ``k_`` keys, ``probability`` and ``kept``.
 
     ``budget`` is the share of all tokens that the drawn documents should have.
-    Without ``targets`` (key to table) shares follow tempered token counts.
+    Without ``targets`` (key to a table of the key and ``target`` weights) shares
+    follow tempered token counts. ``topic`` is a column of ``docs``; by default the
+    form of the text stands for it. Cells beyond ``most_broadcast`` meet the documents
+    in a plain join, whose hot cells adaptive execution splits.
     """
     marked = keyed(docs, form_of(docs["text"]) if topic is None else topic)
     cells = (
@@ -144,19 +179,22 @@ def mix(docs, stored, topic=None, targets=None, budget=BUDGET, seed=SEED, temper
         .select(*KEYS, "base")
     )
     cells = stored(cells, "cells")
-    goals = {
-        k: (targets or {}).get(k, None) if (targets or {}).get(k, None) is not None
-        else tempered(cells, k, temperature)
-        for k in KEYS
-    }
-    weighed = rake(cells, goals, stored)
     size = cells.agg(F.count("*").alias("n"), F.sum("base").alias("tokens")).first()
-    chosen = inclusion(weighed, budget * (size["tokens"] or 0)).select(
+    goals = {}
+    for key in KEYS:
+        target = (targets or {}).get(key)
+        target = tempered(cells, key, temperature) if target is None else target
+        goals[key] = goals_of(cells, key, target, budget * (size["tokens"] or 0), stored)
+    chosen = rake(cells, goals, budget, stored).select(
         *[F.col(k).alias(f"k_{k}") for k in KEYS], "probability"
     )
-    if size["n"] <= MOST_BROADCAST_CELLS:
+    if size["n"] <= most_broadcast:
         chosen = F.broadcast(chosen)
-    # With too many cells for a broadcast, adaptive joins split the hot ones.
     return marked.join(chosen, [f"k_{k}" for k in KEYS]).withColumn(
-        "kept", draw(F.col("doc_id"), seed) < F.col("probability")
+        "kept", draw(F.col("document.doc_id"), seed) < F.col("probability")
     )
+
+
+def drawn(docs, stored, **options):
+    """The rows of ``docs`` that are drawn, as they are."""
+    return mix(docs, stored, **options).where("kept").select("document.*")

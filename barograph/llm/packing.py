@@ -60,7 +60,7 @@ class Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known = {"": b""}
+        self.known, self.older = {"": b""}, {}
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.special = [token.content[:2] for token in added]
         apart = self._encode(["a b", "a", "b", " a", "a\nb", "a \n b", "\n"])
@@ -71,6 +71,21 @@ class Words:
             and not any(c in token.content for token in added for c in " \n")
         )
 
+        # Where the vocabulary makes letters small, words that differ in case alone are one word. Up to
+        # U+00FF every letter has one small form, whatever stands beside it.
+        latin = [chr(c) for c in range(0x100) if chr(c).isalpha()]
+        self.small = self._encode(latin) == self._encode([c.lower() for c in latin])
+
+    def _cut(self, text):
+        text = text.replace("\n", " ")
+        if self.small:
+            try:
+                text.encode("latin-1")
+                text = text.lower()
+            except UnicodeEncodeError:
+                pass
+        return text.split(" ")
+
     def _encode(self, texts):
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
@@ -81,9 +96,12 @@ class Words:
             k for k, t in enumerate(texts) if not self.splits or any(s in t for s in self.special)
         ]
         for k in set(range(len(texts))).difference(whole):
-            cut[k] = texts[k].replace("\n", " ").split(" ")
+            cut[k] = self._cut(texts[k])
             seen.update(cut[k])
-        new = list(seen.difference(known))
+        seen.difference_update(known)
+        again = seen.intersection(self.older)
+        known.update((word, self.older[word]) for word in again)
+        new = list(seen.difference(again))
         known.update(zip(new, self._encode(new)))
         out = dict(zip(whole, self._encode([texts[k] for k in whole])))
         for k, words in cut.items():
@@ -91,8 +109,9 @@ class Words:
         for word in new:
             if len(word) > LONGEST_CACHED:
                 del known[word]
-        if len(known) > MAX_CACHED:
-            self.known = {"": b""}
+        if len(known) > MAX_CACHED // 2:
+            # Words that go on occurring come back from the older half.
+            self.older, self.known = known, {"": b""}
         return [out[k] for k in range(len(texts))]
 
 

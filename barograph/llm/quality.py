@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from barograph.llm.common import over_batches, rows_of, slices, word_ids
+from barograph.llm.common import over_batches, slices, word_ids
 
 BUCKETS = 4096
 MAX_ROWS = 4000
@@ -142,27 +142,32 @@ def learn_quality(docs, labels, max_rows=MAX_ROWS, buckets=BUCKETS):
         .limit(max_rows)
     )
     texts = docs.where("text IS NOT NULL").select("doc_id", "text")
-    chosen = texts.join(F.broadcast(picked), "doc_id")
+    # Of several texts of one id the smallest is learned from.
+    chosen = (
+        texts.join(F.broadcast(picked), "doc_id")
+        .groupBy("doc_id")
+        .agg(F.min("text").alias("text"), F.max("quality").alias("quality"))
+    )
 
     def make():
         cache = {}
 
         def step(rows):
             made = [hashed_features(t, cache, buckets) for t in rows["text"]]
+            held = [np.flatnonzero(f) for f in made]
             return {
                 "id": rows["doc_id"],
                 "quality": rows["quality"],
-                "features": [f.astype(np.float16).tobytes() for f in made],
+                "places": [h.astype(np.uint16).tobytes() for h in held],
+                "values": [f[h].astype(np.float16).tobytes() for f, h in zip(made, held)],
             }
 
         return step
 
-    rows = rows_of(
-        over_batches(chosen, "id bigint, quality int, features binary", make)
-        .dropDuplicates(["id"])
-        .orderBy("id")
-    )
-    marks = np.array([float(r["quality"] > 0) for r in rows], dtype=np.float32)
+    made = over_batches(chosen, "id bigint, quality int, places binary, values binary", make)
+    # Rows come one by one and hold what is not zero, so the driver's memory is that of the matrix.
+    rows = sorted(map(tuple, made.toLocalIterator()))
+    marks = np.array([float(quality > 0) for _, quality, _, _ in rows], dtype=np.float32)
     if not len(rows) or marks.min() == marks.max():
         return None
     unseen = np.arange(len(rows)) % 5 == 0
@@ -170,9 +175,10 @@ def learn_quality(docs, labels, max_rows=MAX_ROWS, buckets=BUCKETS):
         unseen[:] = False
     # The texts of the fit come first, so both parts are views of one matrix.
     order = np.argsort(unseen, kind="stable")
-    features = np.empty((len(rows), buckets), dtype=np.float32)
+    features = np.zeros((len(rows), buckets), dtype=np.float32)
     for place, at in enumerate(order):
-        features[place] = np.frombuffer(rows[at]["features"], np.float16)
+        held = np.frombuffer(rows[at][2], np.uint16)
+        features[place, held] = np.frombuffer(rows[at][3], np.float16)
     del rows
     marks, seen = marks[order], int((~unseen).sum())
     weights, bias = fitted(features[:seen], marks[:seen])

@@ -43,7 +43,9 @@ def op4_toxicity(spark, sf_dir):
         .groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("y"))
     )
-    training = docs.where("text IS NOT NULL").select("doc_id", "text").join(marks, "doc_id")
+    # The same join at every size, of texts that can be learned from alone.
+    texts = docs.where("text IS NOT NULL").where(remainder(F.col("doc_id"), 4) != 2)
+    training = texts.select("doc_id", "text").join(marks.hint("merge"), "doc_id")
     training = stored(training.select("y", "text"), "toxic-training")
     detector = toxicity.learn_toxicity(training, stored)
     held_out = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False))
@@ -79,7 +81,7 @@ def op9_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
     mixed = mixing.mix(docs, stored)
     return mixed.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.col("document.doc_id").cast("bigint").alias("doc_id"),
         F.col("k_source").alias("source"),
         F.col("k_lang").alias("lang"),
         F.col("k_topic").alias("topic"),
@@ -149,23 +151,40 @@ FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN least l ON l.a = d.d
 
 
 def mixing_sql(rounds=mixing.ROUNDS):
-    """Raking with one common table per step, and the budget factor from a sorted sum."""
-    steps, last = [], "start"
+    """Goals from sorted sums, then raking with one common table per step."""
+    goals, steps, last = [], [], {key: f"first_{key}" for key in mixing.KEYS}
+    for key in mixing.KEYS:
+        # Values in the order in which they would be taken whole; the first scale that takes no further one holds.
+        goals.append(
+            f"asked_{key} AS MATERIALIZED (SELECT {key}, sum(base)::DOUBLE AS whole, "
+            f"pow(sum(base)::DOUBLE, {mixing.TEMPERATURE}) AS target FROM cells GROUP BY 1 HAVING sum(base) > 0), "
+            f"scaled_{key} AS (SELECT target / whole AS ratio, ({mixing.BUDGET} * (SELECT sum(base) FROM cells) - "
+            "coalesce(sum(whole) OVER (ORDER BY target / whole DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) "
+            "/ sum(target) OVER (ORDER BY target / whole DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS scale "
+            f"FROM asked_{key}), "
+            f"goal_{key} AS MATERIALIZED (SELECT {key}, least(whole, target * (SELECT max(scale) FROM scaled_{key} "
+            f"WHERE scale * ratio < 1)) AS goal FROM asked_{key}), "
+            f"first_{key} AS MATERIALIZED (SELECT DISTINCT {key}, "
+            f"{mixing.BUDGET if key == mixing.KEYS[0] else 1}::DOUBLE AS factor FROM cells)"
+        )
+    chance = "s.factor * l.factor * t.factor"
+
+    def joined():
+        pairs = zip("slt", mixing.KEYS)
+        return "cells c " + " ".join(f"JOIN {last[k]} {x} ON {x}.{k} = c.{k}" for x, k in pairs)
+
     for number in range(rounds):
         for key in mixing.KEYS:
             name = f"r{number}_{key}"
             steps.append(
-                f"{name} AS MATERIALIZED (SELECT c.* REPLACE (CASE WHEN s.now > 0 THEN"
-                f" c.weight * g.target / s.now ELSE 0 END AS weight) FROM {last} c"
-                f" JOIN (SELECT {key}, sum(weight) AS now FROM {last} GROUP BY 1) s USING ({key})"
-                f" JOIN goal_{key} g USING ({key}))"
+                f"{name} AS MATERIALIZED (SELECT {key}, o.factor * coalesce(least(greatest(CASE "
+                "WHEN goal > w AND p > 0 THEN (goal - w) / p WHEN w + p > goal THEN goal / (w + p) ELSE 1 END, "
+                f"{1 / mixing.MOST_CHANGE}), {mixing.MOST_CHANGE}), {1 / mixing.MOST_CHANGE}) AS factor FROM "
+                f"(SELECT c.{key}, sum(CASE WHEN {chance} >= 1 THEN base::DOUBLE ELSE 0 END) AS w, "
+                f"sum(CASE WHEN {chance} >= 1 THEN 0 ELSE base * ({chance}) END) AS p FROM {joined()} GROUP BY 1) "
+                f"LEFT JOIN goal_{key} USING ({key}) JOIN {last[key]} o USING ({key}))"
             )
-            last = name
-    goals = ", ".join(
-        f"goal_{k} AS MATERIALIZED (SELECT {k}, w / sum(w) OVER () AS target FROM"
-        f" (SELECT {k}, pow(sum(base), {mixing.TEMPERATURE}) AS w FROM cells GROUP BY 1))"
-        for k in mixing.KEYS
-    )
+            last[key] = name
     return rf"""
 WITH docs AS MATERIALIZED (
     SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
@@ -177,21 +196,10 @@ WITH docs AS MATERIALIZED (
     FROM documents
 ), cells AS MATERIALIZED (
     SELECT source, lang, topic, sum(tokens)::BIGINT AS base FROM docs GROUP BY ALL
-), {goals}, start AS (SELECT *, base / sum(base) OVER () AS weight FROM cells),
-{", ".join(steps)}, ratios AS (
-    SELECT *, weight / base AS ratio FROM {last} WHERE base > 0
-), above AS (
-    SELECT *, coalesce(sum(base) OVER (ORDER BY ratio DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS taken,
-        sum(weight) OVER (ORDER BY ratio DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS left_over
-    FROM ratios
-), factor AS (
-    SELECT max(f) AS f FROM (
-        SELECT ratio, ({mixing.BUDGET} * (SELECT sum(base) FROM cells) - taken) / left_over AS f FROM above
-    ) WHERE f * ratio < 1
-), chances AS (
-    SELECT source, lang, topic, CASE WHEN base = 0 THEN 1.0
-        ELSE round(least(1.0, (SELECT f FROM factor) * weight / base), 6) END AS probability
-    FROM {last}
+), {", ".join(goals)}, {", ".join(steps)}, chances AS (
+    SELECT c.source, c.lang, c.topic,
+        CASE WHEN base = 0 THEN 1.0 ELSE round(least(1.0, {chance}), 6) END AS probability
+    FROM {joined()}
 )
 SELECT doc_id, source, lang, topic, tokens, probability::DOUBLE AS probability,
     ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || '/{mixing.SEED}'), 1, 8))::BIGINT

@@ -186,3 +186,14 @@ def test_site_prior_shrinks(spark, keep):
     found = siteprior.judge_quality(docs, labels, F.col("source"), F.lit("p"), keep)
     prior = {r["host"]: r["p"] for r in found.groupBy("host").agg(F.avg("site_prior").alias("p")).collect()}
     assert prior["good"] > 0.95 and prior["bad"] < 0.05 and 0.3 < prior["new"] < 0.7
+
+
+def test_numbers_are_no_letters(spark):
+    """Squares, halves and Roman numerals are numbers; a text of nothing else is undetermined."""
+    assert langid.letter_words("\u00b2 \u00bd 12 \u2167 _ a\u00b2b \u00c9t\u00e9 \u4e94") == ["a", "b", "\u00e9t\u00e9", "\u4e94"]
+    rows = [(1, "en", "the cat and the dog"), (2, "de", "der Hund und die Katze")]
+    training = spark.createDataFrame(rows, "doc_id bigint, lang string, text string")
+    model = langid.learn_languages(training.select("lang", "text"))
+    odd = spark.createDataFrame([(3, "\u00b2"), (4, "\u00bd 12"), (5, "\u2167"), (6, "the dog")], "doc_id bigint, text string")
+    found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identify_languages(odd, model).collect()}
+    assert found[3] == found[4] == found[5] == ("und", 0.0) and found[6][0] == "en"
