@@ -77,6 +77,15 @@ def over_batches(df, schema, make, columns=None):
     return df.select(*names).mapInArrow(run, schema)
 
 
+def map_rows(df, function):
+    """``mapInArrow`` over all columns, whatever characters their names hold; the schema stays.
+
+    ``function`` sees the columns under numbers, in their order.
+    """
+    numbered = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return numbered.mapInArrow(function, numbered.schema).toDF(*df.columns)
+
+
 def slices(batch, most_bytes=4_000_000):
     """Slices of a batch of about so many bytes each, of one row at least."""
     size = max(1, batch.nbytes // max(1, batch.num_rows))

@@ -8,10 +8,9 @@ have, and the others are raked again, so the marginals still hold after capping.
 document is drawn with its cell's probability by a hash of its id, so the draw is the
 same in every run.
 
-Only DataFrame functions are used. Cells are summed with partial aggregation and
-stored once, so a source with a third of all rows is no hot spot. A step joins the
-cells with three tables of factors and stores one of them; plans do not grow with
-the rounds.
+Only DataFrame functions are used. Cells are summed with partial aggregation, so a
+source with a third of all rows is no hot spot. A step groups the cells by one key and
+stores them scaled; its plan is small and the same in every round.
 
 Defined results: null keys form the group named by an empty text. Null texts
 have no tokens; a cell without tokens has probability 1, as it costs nothing. A
@@ -26,7 +25,9 @@ from pyspark.sql import functions as F
 KEYS = ("source", "lang", "topic")
 TEMPERATURE = 0.5
 BUDGET = 0.5
-ROUNDS = 20
+ROUNDS = 8
+# From here on a cell is taken whole. Chances that come to one by rounding errors count as one.
+WHOLE = 1 - 1e-9
 # A step changes a factor by this much at most, which keeps targets that cannot all be met from
 # driving the factors apart.
 MOST_CHANGE = 2.0
@@ -81,64 +82,47 @@ def goals_of(cells, key, target, budget_tokens, stored):
     return stored(asked.select(key, goal.alias("goal")), "goals")
 
 
-def with_chance(cells, factors):
-    """Cells with ``chance``, the product of their three factors, not yet capped at one."""
-    joined = cells
-    for key in KEYS:
-        joined = joined.join(factors[key].withColumnRenamed("factor", f"f_{key}"), key)
-    chance = F.col(f"f_{KEYS[0]}")
-    for key in KEYS[1:]:
-        chance = chance * F.col(f"f_{key}")
-    return joined.select(*KEYS, "base", chance.alias("chance"))
-
-
-def step(cells, factors, key, goal):
-    """The factors of one key for which its values meet their goals.
+def step(cells, key):
+    """Cells whose ``chance`` is scaled so that the values of one key meet their goals.
 
-    What its whole cells hold is taken as given and the others are scaled to the rest;
-    where whole cells alone hold more than the goal, all are scaled.
+    What the whole cells of a value hold is taken as given and the others are scaled to
+    the rest; where whole cells alone hold more than the goal, all are scaled.
     """
-    whole = F.col("chance") >= 1
-    base = F.col("base").cast("double")
-    sums = (
-        with_chance(cells, factors)
-        .groupBy(key)
-        .agg(
-            F.sum(F.when(whole, base).otherwise(0.0)).alias("whole"),
-            F.sum(F.when(whole, 0.0).otherwise(base * F.col("chance"))).alias("part"),
-        )
+    whole, base = F.col("chance") >= WHOLE, F.col("base").cast("double")
+    goal = F.col("goal")
+    sums = cells.groupBy(key).agg(
+        F.max(f"goal_{key}").alias("goal"),
+        F.sum(F.when(whole, base).otherwise(0.0)).alias("whole"),
+        F.sum(F.when(whole, 0.0).otherwise(base * F.col("chance"))).alias("part"),
     )
-    rest = F.col("goal") - F.col("whole")
+    rest = goal - F.col("whole")
     change = (
         F.when((rest > 0) & (F.col("part") > 0), rest / F.col("part"))
-        .when(F.col("whole") + F.col("part") > F.col("goal"), F.col("goal") / (F.col("whole") + F.col("part")))
+        .when(F.col("whole") + F.col("part") > goal, goal / (F.col("whole") + F.col("part")))
         .otherwise(1.0)
     )
     bounded = F.least(F.greatest(change, F.lit(1 / MOST_CHANGE)), F.lit(MOST_CHANGE))
-    met = sums.join(goal, key, "left").join(factors[key], key)
-    # A value without tokens, or that no target names, is not to be drawn: its factor fades.
-    return met.select(
-        key, (F.col("factor") * F.coalesce(bounded, F.lit(1 / MOST_CHANGE))).alias("factor")
-    )
+    # A value without tokens, or that no target names, is not to be drawn: its chance fades.
+    factors = sums.select(key, F.when(goal.isNull(), 1 / MOST_CHANGE).otherwise(bounded).alias("factor"))
+    scaled = cells.join(factors, key).withColumn("chance", F.col("chance") * F.col("factor"))
+    return scaled.select(*cells.columns)
 
 
 def rake(cells, goals, budget, stored, rounds=ROUNDS):
     """Cells with ``probability`` such that the tokens drawn by each key meet its goals.
 
-    ``goals`` maps a key to a table of the key and its ``goal`` in tokens.
+    ``goals`` maps a key to a table of the key and its ``goal`` in tokens. A cell carries
+    its three goals and its chance, the product of all factors so far.
     """
-    factors = {
-        key: stored(
-            cells.groupBy(key).agg(F.lit(budget if key == KEYS[0] else 1.0).alias("factor")), "factors"
-        )
-        for key in KEYS
-    }
+    raked = cells.withColumn("chance", F.lit(float(budget)))
+    for key in KEYS:
+        raked = raked.join(goals[key].withColumnRenamed("goal", f"goal_{key}"), key, "left")
+    raked = stored(raked, "raked")
     for _ in range(rounds):
         for key in KEYS:
-            factors[key] = stored(step(cells, factors, key, goals[key]), "factors")
+            raked = stored(step(raked, key), "raked")
     chance = F.when(F.col("base") == 0, 1.0).otherwise(F.least(F.lit(1.0), F.col("chance")))
-    raked = with_chance(cells, factors)
-    return stored(raked.select(*KEYS, "base", F.round(chance, 6).alias("probability")), "raked")
+    return raked.select(*KEYS, "base", F.round(chance, 6).alias("probability"))
 
 
 def draw(ids, seed=SEED):

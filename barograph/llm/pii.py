@@ -21,7 +21,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from barograph.llm.common import over_batches, slices
+from barograph.llm.common import map_rows, over_batches, slices
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "login", "secret", "account")
@@ -181,13 +181,14 @@ def masked(text):
 def mask_texts(docs):
     """The rows of ``docs``, with all of their columns, and masked texts; a null text stays null."""
 
+    place = docs.columns.index("text")
+
     def mask(batches):
         for batch in batches:
-            place = batch.schema.get_field_index("text")
             for rows in slices(batch):
                 texts = [None if t is None else masked(t) for t in rows.column(place).to_pylist()]
                 columns = rows.columns
                 columns[place] = pa.array(texts, type=batch.schema.field(place).type)
                 yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(mask, docs.schema)
+    return map_rows(docs, mask)

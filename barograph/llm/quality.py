@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from barograph.llm.common import over_batches, slices, word_ids
+from barograph.llm.common import map_rows, over_batches, slices, word_ids
 
 BUCKETS = 4096
 MAX_ROWS = 4000
@@ -238,17 +238,16 @@ def kept_rows(docs, model, threshold=THRESHOLD):
 
     Rows keep their order within a batch and any column type Arrow can carry.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, place = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
 
     def keep(batches):
         judge = judge_of(shared.value, threshold)
         for batch in batches:
-            place = batch.schema.get_field_index("text")
             for rows in slices(batch):
                 texts = rows.column(place).to_pylist()
                 yield rows.filter(pa.array([judge(t or "")[3] for t in texts], pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return map_rows(docs, keep)
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")

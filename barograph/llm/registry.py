@@ -151,10 +151,10 @@ FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN least l ON l.a = d.d
 
 
 def mixing_sql(rounds=mixing.ROUNDS):
-    """Goals from sorted sums, then raking with one common table per step."""
-    goals, steps, last = [], [], {key: f"first_{key}" for key in mixing.KEYS}
+    """Goals from sorted sums, then raking with two common tables per step."""
+    goals, steps, last = [], [], "first"
     for key in mixing.KEYS:
-        # Values in the order in which they would be taken whole; the first scale that takes no further one holds.
+        # Values in the order in which they would be taken whole; the scale that takes no further one holds.
         goals.append(
             f"asked_{key} AS MATERIALIZED (SELECT {key}, sum(base)::DOUBLE AS whole, "
             f"pow(sum(base)::DOUBLE, {mixing.TEMPERATURE}) AS target FROM cells GROUP BY 1 HAVING sum(base) > 0), "
@@ -162,29 +162,24 @@ def mixing_sql(rounds=mixing.ROUNDS):
             "coalesce(sum(whole) OVER (ORDER BY target / whole DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) "
             "/ sum(target) OVER (ORDER BY target / whole DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS scale "
             f"FROM asked_{key}), "
-            f"goal_{key} AS MATERIALIZED (SELECT {key}, least(whole, target * (SELECT max(scale) FROM scaled_{key} "
-            f"WHERE scale * ratio < 1)) AS goal FROM asked_{key}), "
-            f"first_{key} AS MATERIALIZED (SELECT DISTINCT {key}, "
-            f"{mixing.BUDGET if key == mixing.KEYS[0] else 1}::DOUBLE AS factor FROM cells)"
+            f"goals_{key} AS MATERIALIZED (SELECT {key}, least(whole, target * (SELECT max(scale) FROM scaled_{key} "
+            f"WHERE scale * ratio < 1)) AS goal_{key} FROM asked_{key})"
         )
-    chance = "s.factor * l.factor * t.factor"
-
-    def joined():
-        pairs = zip("slt", mixing.KEYS)
-        return "cells c " + " ".join(f"JOIN {last[k]} {x} ON {x}.{k} = c.{k}" for x, k in pairs)
-
+    first = "first AS MATERIALIZED (SELECT *, {}::DOUBLE AS chance FROM cells {})".format(
+        mixing.BUDGET, " ".join(f"LEFT JOIN goals_{key} USING ({key})" for key in mixing.KEYS)
+    )
     for number in range(rounds):
         for key in mixing.KEYS:
             name = f"r{number}_{key}"
             steps.append(
-                f"{name} AS MATERIALIZED (SELECT {key}, o.factor * coalesce(least(greatest(CASE "
-                "WHEN goal > w AND p > 0 THEN (goal - w) / p WHEN w + p > goal THEN goal / (w + p) ELSE 1 END, "
-                f"{1 / mixing.MOST_CHANGE}), {mixing.MOST_CHANGE}), {1 / mixing.MOST_CHANGE}) AS factor FROM "
-                f"(SELECT c.{key}, sum(CASE WHEN {chance} >= 1 THEN base::DOUBLE ELSE 0 END) AS w, "
-                f"sum(CASE WHEN {chance} >= 1 THEN 0 ELSE base * ({chance}) END) AS p FROM {joined()} GROUP BY 1) "
-                f"LEFT JOIN goal_{key} USING ({key}) JOIN {last[key]} o USING ({key}))"
+                f"f{name} AS MATERIALIZED (SELECT {key}, CASE WHEN goal IS NULL THEN {1 / mixing.MOST_CHANGE} ELSE "
+                "least(greatest(CASE WHEN goal > w AND p > 0 THEN (goal - w) / p WHEN w + p > goal THEN goal / (w + p) "
+                f"ELSE 1 END, {1 / mixing.MOST_CHANGE}), {mixing.MOST_CHANGE}) END AS factor FROM (SELECT {key}, "
+                f"max(goal_{key}) AS goal, sum(CASE WHEN chance >= {mixing.WHOLE!r}::DOUBLE THEN base::DOUBLE ELSE 0 END) AS w, "
+                f"sum(CASE WHEN chance >= {mixing.WHOLE!r}::DOUBLE THEN 0 ELSE base * chance END) AS p FROM {last} GROUP BY 1)), "
+                f"{name} AS MATERIALIZED (SELECT c.* REPLACE (c.chance * f.factor AS chance) FROM {last} c JOIN f{name} f USING ({key}))"
             )
-            last[key] = name
+            last = name
     return rf"""
 WITH docs AS MATERIALIZED (
     SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
@@ -196,10 +191,10 @@ WITH docs AS MATERIALIZED (
     FROM documents
 ), cells AS MATERIALIZED (
     SELECT source, lang, topic, sum(tokens)::BIGINT AS base FROM docs GROUP BY ALL
-), {", ".join(goals)}, {", ".join(steps)}, chances AS (
-    SELECT c.source, c.lang, c.topic,
-        CASE WHEN base = 0 THEN 1.0 ELSE round(least(1.0, {chance}), 6) END AS probability
-    FROM {joined()}
+), {", ".join(goals)}, {first}, {", ".join(steps)}, chances AS (
+    SELECT source, lang, topic,
+        CASE WHEN base = 0 THEN 1.0 ELSE round(least(1.0, chance), 6) END AS probability
+    FROM {last}
 )
 SELECT doc_id, source, lang, topic, tokens, probability::DOUBLE AS probability,
     ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || '/{mixing.SEED}'), 1, 8))::BIGINT
