@@ -103,25 +103,32 @@ def expected_in_payloads(records, keys, expected=tuple(S.STATION_EXPECTED)):
 # up to which the JVM compiles it, and run several times slower.
 
 
-def _read_station(df, date_format):
-    parts = {"_day": read_date(column(S.STATION_DATE), date_format)}
-    parts["_time"] = pad_hour(column(S.STATION_HOUR))
+def _station_parts(field, date_format):
+    """What is read of a station record; ``field`` gives a raw column by its name."""
+    parts = {"_day": read_date(field(S.STATION_DATE), date_format)}
+    parts["_time"] = pad_hour(field(S.STATION_HOUR))
     for name in S.MEASURES:
-        parts[f"_{S.STATION_NAMES[name]}"] = measure_text(column(name))
+        parts[f"_{S.STATION_NAMES[name]}"] = measure_text(field(name))
     for name in S.CLOCKS:
-        text = column(name)
+        text = field(name)
         clock = normalise_clock(strip_controls(text) if name in S.STRIPPED else text)
         parts[f"_{S.STATION_NAMES[name]}"] = clock
-    return df.withColumns(parts)
+    return parts
+
+
+def _aws_parts(field, date_format):
+    return {
+        "_day": read_date(field(S.AWS_DATE), date_format),
+        "_time": parse_clock_hms(field(S.AWS_CLOCK)),
+    }
+
+
+def _read_station(df, date_format):
+    return df.withColumns(_station_parts(column, date_format))
 
 
 def _read_aws(df, date_format):
-    return df.withColumns(
-        {
-            "_day": read_date(column(S.AWS_DATE), date_format),
-            "_time": parse_clock_hms(column(S.AWS_CLOCK)),
-        }
-    )
+    return df.withColumns(_aws_parts(column, date_format))
 
 
 def _station_problems():
@@ -195,19 +202,13 @@ def _place(df, tidy, stamp, problems, mode, with_reasons):
     return df.select(first, *tidy, *(["reject_reasons"] if with_reasons else []))
 
 
-def clean_station(df, mode="permissive", date_format="yyyy-MM-dd", with_reasons=False):
-    """Tidy a station feed: composed timestamp, clocks, names and measures.
-
-    ``with_reasons`` adds ``reject_reasons`` to the tidy rows, which saves a
-    second pass where both are wanted.
-    """
-    _check_mode(mode)
-    df = _complete(df, S.STATION_REQUIRED, mode)
-    tidy, inputs = [], {S.STATION_DATE, S.STATION_HOUR, "Date", *S.DISPLAY_COLUMNS}
-    for name in df.columns:
+def _station_tidy(names, field, mode):
+    """Tidy name and value of each raw column, from the record and what was read of it."""
+    tidy, inputs = {}, {S.STATION_DATE, S.STATION_HOUR, "Date", *S.DISPLAY_COLUMNS}
+    for name in names:
         if name in inputs:
             continue
-        value, target = column(name), S.STATION_NAMES.get(name, name)
+        value, target = field(name), S.STATION_NAMES.get(name, name)
         if name in S.CLOCKS:
             value = F.col(f"_{target}")
         elif name in S.STRIPPED:
@@ -217,7 +218,28 @@ def clean_station(df, mode="permissive", date_format="yyyy-MM-dd", with_reasons=
         if name in S.MEASURES:
             number = without_nan(F.col(f"_{target}").try_cast("double"))
             value = _or_fail(number, [target], mode)
-        tidy.append(value.alias(target))
+        tidy[target] = value
+    return tidy
+
+
+def _aws_tidy(names, field, mode):
+    inputs = {S.AWS_DATE, S.AWS_CLOCK, *S.DISPLAY_COLUMNS}
+    return {S.AWS_NAMES.get(name, name): field(name) for name in names if name not in inputs}
+
+
+def _other_tidy(names, field, mode):
+    return {name: field(name) for name in names if name not in S.DISPLAY_COLUMNS}
+
+
+def clean_station(df, mode="permissive", date_format="yyyy-MM-dd", with_reasons=False):
+    """Tidy a station feed: composed timestamp, clocks, names and measures.
+
+    ``with_reasons`` adds ``reject_reasons`` to the tidy rows, which saves a
+    second pass where both are wanted.
+    """
+    _check_mode(mode)
+    df = _complete(df, S.STATION_REQUIRED, mode)
+    tidy = [value.alias(name) for name, value in _station_tidy(df.columns, column, mode).items()]
     stamp = compose_timestamp(F.col("_day"), F.col("_time"))
     parsed = _read_station(df, date_format)
     return _place(parsed, tidy, stamp, _station_problems(), mode, with_reasons)
@@ -227,12 +249,7 @@ def clean_aws(df, mode="permissive", date_format="yyyy-MM-dd", with_reasons=Fals
     """Tidy an automatic station feed: composed timestamp; measures untouched."""
     _check_mode(mode)
     df = _complete(df, S.AWS_REQUIRED, mode)
-    inputs = {S.AWS_DATE, S.AWS_CLOCK, *S.DISPLAY_COLUMNS}
-    tidy = [
-        column(name).alias(S.AWS_NAMES.get(name, name))
-        for name in df.columns
-        if name not in inputs
-    ]
+    tidy = [value.alias(name) for name, value in _aws_tidy(df.columns, column, mode).items()]
     stamp = compose_timestamp_aws(F.col("_day"), F.col("_time"))
     return _place(_read_aws(df, date_format), tidy, stamp, _aws_problems(), mode, with_reasons)
 
@@ -276,6 +293,50 @@ def clean_by_dataset(feeds, mode="permissive", date_format="yyyy-MM-dd"):
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def clean_records(rows, columns, dataset="dataset", record="record", date_format="yyyy-MM-dd"):
+    """Clean records of several datasets in one pass, into one table.
+
+    ``rows`` has a dataset's code and a raw record as a map of texts; other columns are
+    passed on. ``columns`` maps each code to its raw columns. Every row is read by the
+    rules of its own code alone, so the table is scanned once, however many codes there
+    are. Columns are as in ``clean_by_dataset``; what cannot be read is null. Rows of
+    a code that is not named are left out.
+    """
+    parts, stamps, tidy = {}, [], {}
+    for code, names in columns.items():
+        mine = F.col(dataset) == code
+
+        def field(name, names=names):
+            held = F.col(record).getItem(name)
+            return held if name in names else F.lit(None).cast("string")
+
+        required, read, stamp, rules = {
+            S.STATION_DATASET: (S.STATION_REQUIRED, _station_parts, compose_timestamp, _station_tidy),
+            S.AWS_DATASET: (S.AWS_REQUIRED, _aws_parts, compose_timestamp_aws, _aws_tidy),
+        }.get(code, ([], None, None, _other_tidy))
+        if read:
+            for name, value in read(field, date_format).items():
+                parts.setdefault(name, []).append(F.when(mine, value))
+            problems = (_station_problems if code == S.STATION_DATASET else _aws_problems)()
+            good = mine & ~(problems["date"] | problems["time"])
+            stamps.append(F.when(good, stamp(F.col("_day"), F.col("_time"))))
+        every = [*names, *[name for name in required if name not in names]]
+        for name, value in rules(every, field, "permissive").items():
+            number = code == S.STATION_DATASET and name in map(S.STATION_NAMES.get, S.MEASURES)
+            tidy.setdefault(name.lower(), []).append((name, mine, value, number))
+    kept = [column(name) for name in rows.columns if name not in (dataset, record)]
+    known = rows.filter(F.col(dataset).isin(*columns))
+    read = known.withColumns({name: F.coalesce(*values) for name, values in parts.items()})
+    placed = []
+    for found in tidy.values():
+        # A column that the datasets type differently becomes text.
+        same = len({number for *_, number in found}) == 1
+        values = [F.when(mine, value if same else value.cast("string")) for _, mine, value, _ in found]
+        placed.append(F.coalesce(*values).alias(found[0][0]))
+    stamp = [F.coalesce(*stamps).alias("timestamp")] if stamps else []
+    return read.select(column(dataset), *stamp, *placed, *kept)
+
+
 def snapshot_label(df, moment="ts", cut=True):
     """Add the labels of the snapshot a moment belongs to.
 

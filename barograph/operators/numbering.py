@@ -21,17 +21,18 @@ def number_rows(df, *order, name="seq", first=1):
     ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
     ordered.withColumn("_place", F.monotonically_increasing_id()).write.parquet(path)
     stored = spark.read.schema(df.schema.add("_place", T.LongType())).parquet(path)
-    part = F.shiftright("_place", PLACE_BITS)
-    counts = stored.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
-    listed = F.array_sort(F.collect_list(F.struct("part", "n")))
-    # Running sums over the parts, as one array beside the array of their numbers.
-    counted = counts.agg(listed.alias("parts"))
+    part = F.shiftright("_place", PLACE_BITS).alias("_part")
+    counts = stored.groupBy(part).agg(F.count("*").alias("n"))
+    # Running sums over the parts: one row that holds a number per task, then a row per task again.
+    counted = counts.agg(F.array_sort(F.collect_list(F.struct("_part", "n"))).alias("parts"))
     sums = F.aggregate(
         F.col("parts"),
         F.array(F.lit(first).cast("bigint")),
         lambda done, count: F.concat(done, F.array(F.element_at(done, -1) + count["n"])),
     )
-    starts = counted.select(F.map_from_arrays("parts.part", F.slice(sums, F.lit(1), F.size("parts"))))
+    starts = counted.select(
+        F.inline(F.arrays_zip(F.col("parts._part"), F.slice(sums, F.lit(1), F.size("parts")))).alias("_part", "_start")
+    )
     inside = F.col("_place").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
-    numbered = stored.withColumn("_starts", starts.scalar())
-    return numbered.withColumn(name, F.element_at("_starts", part) + inside).drop("_place", "_starts")
+    numbered = stored.withColumn("_part", part).join(F.broadcast(starts), "_part")
+    return numbered.withColumn(name, F.col("_start") + inside).drop("_part", "_place", "_start")

@@ -105,4 +105,4 @@ def deliver_units(points, requests, output, delivered_at=None):
     )
     missing = {n: F.lit(None).cast("string") for n in RECORD_NAMES if n not in names}
     record = record.withColumns(missing).select(*RECORD_NAMES, "n_rows", "delivered_at")
-    record.coalesce(1).write.mode("append").parquet(f"{output}/{RECORD}")
+    record.write.mode("append").parquet(f"{output}/{RECORD}")

@@ -256,20 +256,51 @@ AWS_PART = Feed("events", AWS.columns, "event_type IN ('signup', 'purchase')")
 OTHER_PART = Feed("events", OTHER.columns, "event_type = 'error'")
 
 
-@CHECKS.add(
-    "clean_by_dataset",
+BY_DATASET_SQL = (
     f"SELECT 'imd_Station_API' AS dataset, {STATION_TIDY} FROM {STATION_PART.sql} "
     f"UNION ALL BY NAME SELECT 'imd_AWS_ARG' AS dataset, {AWS_TIDY} FROM {AWS_PART.sql} "
-    f"UNION ALL BY NAME SELECT 'imd_Other' AS dataset, note, event_id FROM {OTHER_PART.sql}",
+    f"UNION ALL BY NAME SELECT 'imd_Other' AS dataset, note, event_id FROM {OTHER_PART.sql}"
 )
+PARTS = {S.STATION_DATASET: STATION_PART, S.AWS_DATASET: AWS_PART, "imd_Other": OTHER_PART}
+
+
+def mixed_records(spark, sf_dir):
+    """One table of all three feeds: a record's dataset, its raw values as a map, and its event."""
+    raw = Feed("events", {"event_id": "event_id", "k": "k", "ts": "ts", "props": "props", "user_id": "user_id", "value": "value", "event_type": "event_type"})
+    code = record = None
+    for name, feed in PARTS.items():
+        here = F.expr(feed.where)
+        pairs = [x for n, sql in feed.columns.items() if n != "event_id" for x in (F.lit(n), F.expr(sql))]
+        values = F.create_map(*pairs)
+        code = F.when(here, name) if code is None else code.when(here, name)
+        record = F.when(here, values) if record is None else record.when(here, values)
+    return raw.read(spark, sf_dir).select("event_id", code.alias("dataset"), record.alias("record"))
+
+
+@CHECKS.add("clean_by_dataset", BY_DATASET_SQL)
 def by_dataset(spark, sf_dir):
-    return clean.clean_by_dataset(
-        {
-            S.STATION_DATASET: STATION_PART.read(spark, sf_dir),
-            S.AWS_DATASET: AWS_PART.read(spark, sf_dir),
-            "imd_Other": OTHER_PART.read(spark, sf_dir),
-        }
-    )
+    columns = {code: [n for n in feed.columns if n != "event_id"] for code, feed in PARTS.items()}
+    return clean.clean_records(mixed_records(spark, sf_dir), columns)
+
+
+@CHECKS.add("clean_feeds_apart", BY_DATASET_SQL)
+def feeds_apart(spark, sf_dir):
+    return clean.clean_by_dataset({code: feed.read(spark, sf_dir) for code, feed in PARTS.items()})
+
+
+# Which of the expected columns a feed has once it is tidy, told from its columns alone.
+@CHECKS.add(
+    "expected_columns_of_feeds",
+    " UNION ALL ".join(
+        f"SELECT '{code}' AS dataset, '{name}' AS \"column\", {str(has).lower()} AS present"
+        for code, tidy in (("station", [*S.STATION_NAMES.values(), *S.STATION_NAMES]), ("aws", ["stationID", "ID"]))
+        for name in S.STATION_EXPECTED
+        for has in [name == "timestamp" or (name in S.STATION_NAMES if code == "station" else name in ("ID",))]
+    ),
+)
+def expected_of_feeds(spark, sf_dir):
+    found = clean.expected_columns(station(spark, sf_dir), "station")
+    return found.unionByName(clean.expected_columns(aws(spark, sf_dir), "aws"))
 
 
 STATION_REASONS = reasons_sql(

@@ -16,9 +16,18 @@ from barograph.llm.common import stored, table
 
 VOCABULARY = "piece_bpe_32k.model"
 MIX_BUDGET = 0.8
+# Nearer to the shares there are than the operator's own default: so much is drawn here that
+# stronger targets could not be met.
+MIX_TEMPERATURE = 0.75
+MOST_BROADCAST_IDS = 100_000
 ORACLE_SQL = None
 
 
+def as_before(df, docs):
+    """The columns of ``docs``, in their order; names may hold any character."""
+    return df.select(*["`" + name.replace("`", "``") + "`" for name in docs.columns])
+
+
 def quality_stage(spark, docs, sf_dir):
     """Documents the base rules and the classifier accept.
 
@@ -32,10 +41,36 @@ def quality_stage(spark, docs, sf_dir):
 
 
 def near_duplicate_stage(spark, docs, sf_dir):
-    """One document of each group: the one with the smallest id; rows without id stay."""
+    """One document of each group: the one with the smallest id.
+
+    Rows without id join no group. Of rows that repeat one id and text, and of rows
+    without id that repeat a text, one stays; which of them is not defined where
+    their other columns differ. Rows of one id with different texts stay, unless their
+    group has a smaller id. Ties cannot occur among ids. An empty table gives an empty
+    result, and documents without words are kept.
+    """
     found = bottomk.near_duplicates(docs)
     dropped = found.where("id <> component").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    kept = as_before(docs.join(dropped, "doc_id", "left_anti"), docs)
+    return once_per_text(kept, docs)
+
+
+def once_per_text(kept, docs):
+    """Rows whose id occurs several times, reduced to one per text; all others as they are.
+
+    Ids that repeat are looked up first, so that texts are only compared where there
+    is something to compare.
+    """
+    repeated = stored(
+        docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated"
+    )
+    if repeated.isEmpty():
+        return kept
+    small = repeated.limit(MOST_BROADCAST_IDS + 1).count() <= MOST_BROADCAST_IDS
+    ids = F.broadcast(repeated) if small else repeated
+    same = kept["doc_id"].eqNullSafe(ids["doc_id"])
+    several = kept.join(ids, same, "left_semi")
+    return kept.join(ids, same, "left_anti").unionByName(several.dropDuplicates(["doc_id", "text"]))
 
 
 def pii_stage(spark, docs, sf_dir):
@@ -45,12 +80,16 @@ def pii_stage(spark, docs, sf_dir):
         kind = dict(docs.dtypes)["n_chars"]
         length = F.when(F.col("text").isNotNull(), F.length("text").cast(kind))
         masked = masked.withColumn("n_chars", F.coalesce(length, F.col("n_chars")))
-    return masked.select(*docs.columns)
+    return as_before(masked, docs)
 
 
 def mixing_stage(spark, docs, sf_dir):
-    """Documents drawn so that sources, languages and forms meet tempered shares."""
-    return mixing.mix(docs, stored, budget=MIX_BUDGET).where("kept").select(*docs.columns)
+    """Documents drawn so that sources, languages and forms meet tempered shares.
+
+    Rows come back as they are, extra columns of any name included. Equal rows are
+    drawn alike, null keys form a group of their own, and an empty table stays empty.
+    """
+    return mixing.drawn(docs, stored, budget=MIX_BUDGET, temperature=MIX_TEMPERATURE)
 
 
 def encoding_stage(spark, docs, sf_dir):

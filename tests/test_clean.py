@@ -1,7 +1,10 @@
 """Cleaning of whole feeds: stated rows, missing columns, strict mode."""
 
+from functools import reduce
+
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame
 
 from barograph import schemas as S
 from barograph.operators import clean
@@ -158,6 +161,28 @@ def test_by_dataset_types_meet_as_text(feed):
     assert rows[S.AWS_DATASET]["stationName"] is None
 
 
+def test_records_of_several_datasets_in_one_pass(spark, feed, plan):
+    """A mixed table gives what the feeds give apart, from one scan."""
+    station = [{}, {"Humidity": "x"}, {"Time": "24"}, {"Date of Observation": None}]
+    feeds = {
+        S.STATION_DATASET: reduce(DataFrame.unionByName, [feed(c) for c in station]),
+        S.AWS_DATASET: reduce(DataFrame.unionByName, [feed(c, base=AWS_ROW) for c in ({}, {"TIME": "6:3:0"}, {"DATE": "x"})]),
+        "imd_Other": spark.createDataFrame([("n", "b")], "note string, BACKGROUND string"),
+    }
+    rows = [(code, {k: v for k, v in r.asDict().items()}, 7) for code, df in feeds.items() for r in df.collect()]
+    rows.append(("imd_Unnamed", {"note": "left out"}, 7))
+    mixed = spark.createDataFrame(rows, "dataset string, record map<string,string>, batch int").repartition(3)
+    columns = {code: df.columns for code, df in feeds.items()}
+    found = clean.clean_records(mixed, columns)
+    apart = clean.clean_by_dataset(feeds)
+    assert set(found.columns) == {*apart.columns, "batch"} and dict(found.dtypes)["humidity"] == dict(apart.dtypes)["humidity"]
+    assert sorted(map(repr, found.select(*apart.columns).collect())) == sorted(map(repr, apart.collect()))
+    clash = clean.clean_records(mixed, columns | {S.AWS_DATASET: [*AWS_ROW, "humidity"]})
+    assert dict(clash.dtypes)["humidity"] == "string"
+    text = plan(found).split("== Physical Plan ==")[1]
+    assert text.count("Scan ExistingRDD") == 1 and "Union" not in text
+
+
 def test_unknown_mode(feed):
     with pytest.raises(ValueError, match="mode"):
         clean.clean_station(feed({}), mode="lenient")
