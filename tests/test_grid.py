@@ -73,6 +73,20 @@ def test_region_assign_plans(spark, points, boxes, plan):
     assert "NestedLoop" not in small + large and "Cartesian" not in small + large
 
 
+def test_large_sides_are_not_broadcast(spark, points, boxes, plan, monkeypatch):
+    """What is not proven small is shuffled, whatever Spark estimates; many regions of few boxes meet points by box."""
+    shared = [(f"{b[0]}-{i}", *b[1:]) for b in boxes for i in range(20)]
+    grid, regions = spark.createDataFrame(points, GRID), spark.createDataFrame(shared, BOXES)
+    assert "BroadcastHashJoin" not in plan(subset.region_assign(grid, regions, small=False))
+    monkeypatch.setattr(subset, "MAX_BROADCAST_ROWS", subset.CELLS_PER_BOX * len(boxes))
+    found = subset.region_assign(grid, regions)
+    text = plan(found).split("== Physical Plan ==")[1]
+    assert text.count("BroadcastHashJoin") == 1 and text.count("SortMergeJoin") == 1
+    assert found.columns == subset.region_assign(grid, regions, small=True).columns
+    rows = sorted(map(tuple, found.select("region", "value", "north").collect()))
+    assert rows == sorted((b[0], p[4], b[1]) for p in points for b in shared if inside(p, b))
+
+
 MIXED = {
     "ten thousand boxes of a hundredth of a degree within one degree": 0,
     "the same beside two hundred boxes of the whole globe": 200,
