@@ -23,6 +23,7 @@ from barograph.sources import (
     read_payloads,
 )
 from barograph.streaming import stream_snapshots
+from checks import files
 
 RECORD = {"Station": " Mysuru ", "Station Id": "043296", "Date of Observation": "2024-01-02", "Time": 3}
 AWS_RECORD = {"ID": "A1", "DATE": "2024-01-02", "TIME": "06:30:00", "RAIN": 1.5}
@@ -379,3 +380,25 @@ def test_odd_file_names(spark, landing, tmp_path):
         spark, str(landing.folder), str(tmp_path / "out"), str(tmp_path / "progress")
     ).awaitTermination()
     assert len(rows_of(tmp_path / "out")) == 2
+
+
+def test_responses_land_by_many_tasks(spark, tmp_path):
+    """Files are dealt out by number; by bytes all of them would be one task's work."""
+    rows = spark.range(100).selectExpr("'[]' AS payload", "'imd_Other' AS datacode", "concat('t', id) AS timecode")
+    files.write_responses(rows.coalesce(1), str(tmp_path))
+    landed = [file.name.split("-")[1] for file in tmp_path.glob("datacode=imd_Other/timecode=*/part-*.txt")]
+    assert len(landed) == 100 and len(set(landed)) > 8
+
+
+def test_listing_takes_few_tasks(spark, landing):
+    """Many folders are listed by a few tasks for every core, and the session's settings stay."""
+    for minute in range(60):
+        landing.add(f"2024-01-02T00-{minute:02}-00", [RECORD])
+    context, before = spark.sparkContext, spark.conf.getAll
+    context.setJobGroup("listing", "listing")
+    assert landed_payloads(spark, str(landing.folder)).count() == 60
+    context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [tracker.getStageInfo(n) for job in tracker.getJobIdsForGroup("listing") for n in tracker.getJobInfo(job).stageIds]
+    assert max(stage.numTasks for stage in stages) <= 4 * context.defaultParallelism < 60
+    assert spark.conf.getAll == before
