@@ -402,3 +402,12 @@ def test_listing_takes_few_tasks(spark, landing):
     stages = [tracker.getStageInfo(n) for job in tracker.getJobIdsForGroup("listing") for n in tracker.getJobInfo(job).stageIds]
     assert max(stage.numTasks for stage in stages) <= 4 * context.defaultParallelism < 60
     assert spark.conf.getAll == before
+
+
+def test_state_partitions(spark, landing, tmp_path):
+    """A stream's state has its own number of partitions; the session keeps its own for all else."""
+    landing.add("2024-01-02T03-00-00", [RECORD])
+    before, progress = spark.conf.getAll, tmp_path / "progress"
+    stream_snapshots(spark, str(landing.folder), str(tmp_path / "out"), str(progress), state_partitions=3).awaitTermination()
+    assert len(rows_of(tmp_path / "out")) == 1 and spark.conf.getAll == before
+    assert sorted(p.name for p in (progress / "state" / "0").iterdir() if p.name.isdigit()) == ["0", "1", "2"]
