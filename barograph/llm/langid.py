@@ -27,8 +27,9 @@ from barograph.llm import common
 from barograph.llm.common import over_batches, rows_of
 
 # Word characters are letters, digits and other numbers, such as a square or a half; the last two are no letters.
-OTHER_NUMBERS = "".join(c for c in map(chr, range(0x110000)) if c.isnumeric() and not (c.isalpha() or c.isdecimal()))
-LETTERS = re.compile(rf"[^\W\d_{OTHER_NUMBERS}]+")
+OTHER_NUMBERS = {c for c in map(chr, range(0x110000)) if c.isnumeric() and not (c.isalpha() or c.isdecimal())}
+# Without those numbers, as a class that lists a thousand of them is tried item by item at every place.
+LETTERS = re.compile(r"[^\W\d_]+")
 ORDERS = (4, 3, 2, 1)
 LEAST_SHARE = 2e-6
 BACKOFF = 0.7
@@ -38,7 +39,11 @@ SCALE = 2.0**32
 
 def letter_words(text):
     """Runs of letters, in lower case."""
-    return LETTERS.findall(text.lower())
+    text = text.lower()
+    if not text.isascii():
+        for number in OTHER_NUMBERS.intersection(text):
+            text = text.replace(number, " ")
+    return LETTERS.findall(text)
 
 
 def grams_of(word, order):

@@ -57,6 +57,14 @@ def test_unigram_is_best_and_decodes(texts):
         assert model.decode(model.encode(text, cache)) == text.replace("▁", " ")
 
 
+def test_letters_are_found_by_plain_classes():
+    """Numbers of all kinds part words, and the pattern lists none of them, which would be tried at every character."""
+    plain = lambda text: "".join(c if c.isalpha() and not c.isnumeric() or c in "一二" else " " for c in text).split()
+    for text in ["x²y ½ Ⅻa", "naïve_çà 3été", "a٣b", "plain words 12", ""]:
+        assert langid.letter_words(text) == plain(text.lower())
+    assert len(langid.LETTERS.pattern) < 20
+
+
 def test_personal_data_follows_the_rules(texts):
     def plain(text):
         for kind, rule in RULES.items():
