@@ -40,6 +40,8 @@ class DoubleArray:
         times = Counter(c for word in words for c in word)
         characters = sorted(times, key=lambda c: (-times[c], c))
         self.codes = {c: i + 1 for i, c in enumerate(characters)}
+        # No state has a child by this code, which stands for all other characters.
+        self.no_code = len(characters) + 1
         tree = {}
         for number, word in enumerate(words):
             node = tree
@@ -70,6 +72,8 @@ class DoubleArray:
             for c in codes:
                 self.check[start + c] = state
             waiting += [(start + c, node[c]) for c in codes]
+        # Whatever the state and the code, its child's place is within the arrays.
+        self._grow(max(self.base) + self.no_code + 1)
 
     def _grow(self, size):
         more = size - len(self.check)
@@ -89,8 +93,12 @@ class Unigram:
         self.trie = DoubleArray([p[1] for p in pieces])
         self.byte_ids = byte_ids
         self.texts = {p[0]: p[1] for p in pieces}
-        self.bytes = {number: bytes([b]) for b, number in enumerate(byte_ids)}
+        self.bytes = {number: piece.encode() for number, piece in self.texts.items()}
+        self.bytes |= {number: bytes([b]) for b, number in enumerate(byte_ids)}
         self.unknown = min(self.scores) - UNKNOWN_COST
+        self.singles = {self.trie.codes[p[1]] for p in pieces if len(p[1]) == 1}
+        self.longest = max(len(p[1]) for p in pieces)
+        self.cache = {}
         inner = re.compile(f"[^{MARK}]{MARK}")
         self.splits = not any(inner.search(p[1]) for p in pieces)
 
@@ -100,21 +108,24 @@ class Unigram:
         best, back = [-math.inf] * (size + 1), [None] * (size + 1)
         best[0] = 0.0
         base, check, value = self.trie.base, self.trie.check, self.trie.value
-        codes = [self.trie.codes.get(c, 0) for c in chunk]
-        scores, limit = self.scores, len(check)
+        known, other = self.trie.codes.get, self.trie.no_code
+        codes = [known(c, other) for c in chunk]
+        scores, unknown = self.scores, self.unknown
         for at in range(size):
-            here, state, single = best[at], 0, False
-            for end in range(at, size):
-                following = base[state] + codes[end]
-                if not codes[end] or following >= limit or check[following] != state:
+            here, state, end = best[at], 0, at
+            for code in codes[at : at + self.longest]:
+                following = base[state] + code
+                if check[following] != state:
                     break
                 state, number = following, value[following]
+                end += 1
                 if number >= 0:
-                    single = single or end == at
-                    if here + scores[number] > best[end + 1]:
-                        best[end + 1], back[end + 1] = here + scores[number], (at, number)
-            if not single and here + self.unknown > best[at + 1]:
-                best[at + 1], back[at + 1] = here + self.unknown, (at, None)
+                    score = here + scores[number]
+                    if score > best[end]:
+                        best[end], back[end] = score, (at, number)
+            # A character that is a piece by itself never falls back to its bytes.
+            if codes[at] not in self.singles and here + unknown > best[at + 1]:
+                best[at + 1], back[at + 1] = here + unknown, (at, None)
         out, at = [], size
         while at:
             start, number = back[at]
@@ -143,9 +154,7 @@ class Unigram:
         return out
 
     def decode(self, ids):
-        out = b"".join(
-            self.bytes[i] if i in self.bytes else self.texts[i].encode() for i in ids
-        ).decode("utf-8", "replace")
+        out = b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
         return out.replace(MARK, " ")[1:]
 
 
@@ -172,7 +181,8 @@ def encode_texts(docs, path):
     shared = docs.sparkSession.sparkContext.broadcast(read_unigram(path))
 
     def make():
-        model, cache = shared.value, {}
+        # The model stays with a Python worker, and so do the chunks it has met.
+        model, cache = shared.value, shared.value.cache
 
         def step(rows):
             ids = [np.array(model.encode(t, cache), dtype=np.int32) for t in rows["text"]]

@@ -57,6 +57,16 @@ def test_unigram_is_best_and_decodes(texts):
         assert model.decode(model.encode(text, cache)) == text.replace("▁", " ")
 
 
+def test_unigram_steps_stay_within_its_arrays(texts):
+    """Any state followed by any code has a place, and unknown characters have a code without children."""
+    model = unigram.read_unigram(PATH)
+    base, check, other = model.trie.base, model.trie.check, model.trie.no_code
+    assert other not in model.trie.codes.values() and max(base) + other < len(check)
+    assert all(check[place + other] != state for state, place in enumerate(base))
+    # Chunks that a worker has met stay with its model, whichever task met them.
+    assert model.cache == {} and model.encode(texts[0], model.cache) and model.cache
+
+
 def test_letters_are_found_by_plain_classes():
     """Numbers of all kinds part words, and the pattern lists none of them, which would be tried at every character."""
     plain = lambda text: "".join(c if c.isalpha() and not c.isnumeric() or c in "一二" else " " for c in text).split()
