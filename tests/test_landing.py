@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from barograph import schemas as S
 from barograph.plans import clean_snapshots
-from barograph.session import scratch_dir
-from barograph.sinks import read_snapshots, write_snapshots
+from barograph.session import fewer_reading_tasks, scratch_dir
+from barograph.sinks import mounted, partitioned, read_snapshots, write_snapshots
 from barograph.sources import (
     counting_files,
     dataset_filter,
@@ -22,6 +22,7 @@ from barograph.sources import (
     payload_rejects,
     read_payloads,
 )
+from barograph.sources.observations import readable_records
 from barograph.streaming import stream_snapshots
 from checks import files
 
@@ -411,3 +412,92 @@ def test_state_partitions(spark, landing, tmp_path):
     stream_snapshots(spark, str(landing.folder), str(tmp_path / "out"), str(progress), state_partitions=3).awaitTermination()
     assert len(rows_of(tmp_path / "out")) == 1 and spark.conf.getAll == before
     assert sorted(p.name for p in (progress / "state" / "0").iterdir() if p.name.isdigit()) == ["0", "1", "2"]
+
+
+def contents(path):
+    """Bytes of the CSV files of each folder; two rows of one task are one file's."""
+    found = {}
+    for file in sorted(path.rglob("*.csv")):
+        found.setdefault(str(file.parent.relative_to(path)), []).append(file.read_bytes())
+    return found
+
+
+ODD_VALUES = [*NOTES, "#c", "\u00fc \u65e5", "\t", " ", "a\x00b", "-1", '""', "x\\", "\n", "\r"]
+
+
+def test_tasks_write_what_the_csv_writer_writes(spark, tmp_path, monkeypatch):
+    """Tasks write their files themselves, byte by byte as Spark's writer does, without a side file for each."""
+    rows = [
+        (i, note, None if i % 2 else i / 3, "d:%1", None if i % 4 == 0 else "2024_01_02", "" if i % 7 == 0 else None if i % 5 == 1 else str(i % 5))
+        for i, note in enumerate(ODD_VALUES)
+    ]
+    names = "`i, \"x` int, `no.te` string, v double, dataset string, snap_date string, snap_time string"
+    df = spark.createDataFrame(rows, names).coalesce(1)
+    for label, data in (("all", df), ("one", df.drop("i, \"x", "v"))):
+        new, old = tmp_path / label / "new", tmp_path / label / "old"
+        for _ in range(2):
+            write_snapshots(data, str(new), gathered=True)
+        with monkeypatch.context() as patched:
+            patched.setattr(partitioned, "mounted_path", lambda spark, path: None)
+            write_snapshots(data, str(old), gathered=True)
+        assert contents(new) == contents(old) and len(contents(new)) > 5
+        assert not [file for file in new.rglob("*") if file.name.startswith(".")]
+
+
+def test_rows_of_a_folder_from_several_tasks(spark, tmp_path):
+    """All files of a run stay; what an earlier run left in a folder goes, and other folders stay."""
+    rows = spark.range(0, 60, 1, 4).selectExpr(
+        "id", "'d' AS dataset", "'2024_01_02' AS snap_date", "concat('0', id % 3, '_00_00') AS snap_time"
+    )
+    write_snapshots(rows, str(tmp_path), gathered=True)
+    write_snapshots(rows.where("id % 3 = 1"), str(tmp_path), gathered=True)
+    assert {name: len(found) for name, found in rows_of(tmp_path).items()} == {
+        partition(f"0{n}_00_00", "d"): 20 for n in range(3)
+    }
+
+
+def test_failed_run_leaves_what_was_there(spark, landing, tmp_path):
+    out = tmp_path / "out"
+    display = dict.fromkeys(S.DISPLAY_COLUMNS, "x")
+    columns = [*S.STATION_RAW, *S.DISPLAY_COLUMNS]
+    for hour in range(6):
+        landing.add(f"2024-01-02T0{hour}-00-00", [{**RECORD, **display, "Time": hour}])
+    clean_snapshots(spark, str(landing.folder), str(out), S.STATION_DATASET, columns, mode="strict")
+    before = contents(out)
+    for hour in range(6):
+        landing.add(f"2024-01-02T0{hour}-00-00", [{**RECORD, **display, "Time": hour if hour < 5 else "x"}], name="later")
+    with pytest.raises(Exception, match="cannot be read"):
+        clean_snapshots(spark, str(landing.folder), str(out), S.STATION_DATASET, columns, mode="strict")
+    assert len(before) == 6 and contents(out) == before
+    assert not list(out.glob(".*"))
+
+
+def test_moving_goes_on_where_it_broke_off(spark, tmp_path):
+    staging, out = tmp_path / "out" / ".staging-r", tmp_path / "out"
+    (staging / "a").mkdir(parents=True)
+    (staging / "a" / "places").write_text(json.dumps(["d=1", "d=2"]))
+    for number in (0, 1):
+        (staging / "a" / str(number)).write_text(f"{number}")
+    (out / "d=1").mkdir()
+    (staging / "a" / "0").rename(out / "d=1" / "part-00003-r.c000.csv")
+    for _ in range(2):
+        mounted._mover(str(staging), str(out), "r", ".csv", True)(("a", 3))
+    assert {f"{f.parent.name} {f.name}": f.read_text() for f in out.glob("d=*/*")} == {
+        "d=1 part-00003-r.c000.csv": "0", "d=2 part-00003-r.c000.csv": "1",
+    }
+
+
+def test_a_response_is_parsed_once(spark, plan):
+    payloads = spark.range(1).selectExpr("concat('[{\"a\":', id, '}]') AS payload")
+    text = plan(read_payloads(payloads)).split("== Physical Plan ==")[1]
+    assert text.lower().count("from_json(") + text.lower().count("from_json map") + text.lower().count("jsontostructs(") == 1
+    assert readable_records("payload") is readable_records("payload")
+
+
+def test_small_files_are_read_by_few_tasks(spark, landing):
+    for minute in range(400):
+        landing.add(f"2024-01-02T{minute // 60:02}-{minute % 60:02}-00", "[]")
+    before = spark.conf.getAll
+    with fewer_reading_tasks(spark):
+        tasks = landed_payloads(spark, str(landing.folder)).rdd.getNumPartitions()
+    assert tasks <= spark.sparkContext.defaultParallelism and spark.conf.getAll == before
