@@ -22,6 +22,7 @@ from barograph.sources import (
     payload_rejects,
     read_payloads,
 )
+from barograph.sources import folders
 from barograph.sources.observations import readable_records
 from barograph.streaming import stream_snapshots
 from checks import files
@@ -501,3 +502,44 @@ def test_small_files_are_read_by_few_tasks(spark, landing):
     with fewer_reading_tasks(spark):
         tasks = landed_payloads(spark, str(landing.folder)).rdd.getNumPartitions()
     assert tasks <= spark.sparkContext.defaultParallelism and spark.conf.getAll == before
+
+
+def test_many_folders_are_read_by_their_paths(spark, landing, tmp_path, monkeypatch, plan):
+    """Spark's reading of folder names takes the square of their number; by paths the rows are the same."""
+    land_three(landing)
+    landing.add("2024-01-02T06%3A00%3A00", [RECORD], name="b?%20 c")
+    landing.add("__HIVE_DEFAULT_PARTITION__", [RECORD])
+    landing.add("2024-01-02T04-00-00", [{"note": "n"}], code="imd_a+b%2Fc")
+
+    def found():
+        payloads = landed_payloads(spark, str(landing.folder))
+        out = str(tmp_path / "out")
+        back = read_snapshots(spark, out, "note string, dataset string, snap_date date, snap_time string")
+        return (
+            payloads.columns, sorted(map(str, payloads.collect())), back.dtypes, sorted(map(str, back.collect())),
+            plan(payloads) + plan(back),
+        )
+
+    rows = spark.range(0, 40, 1, 4).selectExpr(
+        "concat('n', id) AS note", "'a+ b:%1' AS dataset", "IF(id % 5 = 0, NULL, '2024-01-02') AS snap_date", "concat(id % 7, '_00') AS snap_time"
+    )
+    write_snapshots(rows, str(tmp_path / "out"))
+    *few, text = found()
+    assert "datacode" in text.split("PartitionFilters")[0] and "file_path" not in text
+    monkeypatch.setattr(folders, "MANY_FOLDERS", 3)
+    *many, text = found()
+    assert many == few and "file_path" in text
+    # Folders of other datasets are not read.
+    wanted = plan(landed_payloads(spark, str(landing.folder)).filter("datacode = 'imd_Other'"))
+    assert wanted.split("== Physical Plan ==")[1].count("FileScan") == 1
+    clean_snapshots(spark, str(landing.folder), str(tmp_path / "many"), DATASETS)
+    monkeypatch.undo()
+    clean_snapshots(spark, str(landing.folder), str(tmp_path / "few"), DATASETS)
+    assert rows_of(tmp_path / "many") == rows_of(tmp_path / "few")
+
+
+def test_stream_does_not_look_at_folder_names(spark, landing, tmp_path):
+    landing.add("2024-01-02T03-00-00", [RECORD])
+    files = landed_payloads(spark, str(landing.folder), stream=True)
+    text = files._jdf.queryExecution().analyzed().toString()
+    assert "regexp_extract" in text.lower() and files.columns[:3] == ["payload", "datacode", "timecode"]
