@@ -20,6 +20,8 @@ def spark(tmp_path_factory):
         .config("spark.checkpoint.dir", f"{shared}/scratch")
         .config("spark.sql.warehouse.dir", f"{shared}/warehouse")
         .config("spark.sql.maxMetadataStringLength", "4000")
+        # Ids of executions are their number only while none is forgotten.
+        .config("spark.sql.ui.retainedExecutions", "100000")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
